@@ -29,3 +29,9 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from churnspark.plans import q_core, q_eval, q_profile, q_business, q_monitor, q_ml  # noqa: F401
+
+
+def rounded(df, cols, digits: int = 6):
+    """Round the named double columns (results compared across engines)."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})

@@ -8,6 +8,8 @@ the feature table and the (model, id, label, score) evaluation input.
 
 from __future__ import annotations
 
+import re
+
 from churnspark import schemas as S
 
 SNAPSHOT = """
@@ -97,4 +99,19 @@ scores AS (
 
 
 def with_(ctes: str, body: str) -> str:
-    return "WITH " + ctes.strip() + "\n" + body
+    sql = "WITH " + ctes.strip() + "\n" + body
+    # "column" (the long-form key) is a reserved word in DuckDB: quote it
+    return re.sub(r"(?<![\'\"\w])column(?![\'\"\w])", '"column"', sql)
+
+
+def round_cols(sql: str, cols, digits: int = 6) -> str:
+    """Wrap a statement so the named double columns are rounded."""
+    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) _r"
+
+
+def long_sql(table: str, cols, keep=(), cast: str = "DOUBLE") -> str:
+    """UNION ALL long form (keep..., column, value) of a table."""
+    k = "".join(f"{c}, " for c in keep)
+    return "\n  UNION ALL ".join(
+        f"SELECT {k}'{c}' AS column, CAST({c} AS {cast}) AS value FROM {table}" for c in cols)
