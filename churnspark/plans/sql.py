@@ -106,7 +106,7 @@ def with_(ctes: str, body: str) -> str:
 
 def round_cols(sql: str, cols, digits: int = 6) -> str:
     """Wrap a statement so the named double columns are rounded."""
-    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+    rep = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) _r"
 
 

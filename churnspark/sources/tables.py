@@ -130,3 +130,23 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
+
+
+def customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer-month panel from ``orders``: one row per customer and month
+    between its first and last order (at most 73 per customer, a bounded
+    expansion), with ``churned`` = 1 in the last month of a churner.
+
+    Columns: month (date, first day), customerid, contract, monthly_charges,
+    churned.  Feeds the monthly run-rate, churn-change and MRR monitors."""
+    o = (read_table(spark, sf_dir, "orders")
+         .groupBy(F.col("o_custkey").alias("customerid"))
+         .agg(F.min("o_orderdate").alias("d0"), F.max("o_orderdate").alias("d1")))
+    s = snapshot(spark, sf_dir).select("customerid", "contract", "monthly_charges", "churn_value")
+    j = s.join(o, "customerid")
+    m0 = F.trunc(F.col("d0"), "month")
+    m1 = F.trunc(F.col("d1"), "month")
+    p = j.withColumn("month", F.explode(F.sequence(m0, m1, F.expr("interval 1 month"))))
+    return p.select("month", "customerid", "contract", "monthly_charges",
+                    F.when((F.col("churn_value") == 1) & (F.col("month") == m1), 1).otherwise(0)
+                    .alias("churned"))
