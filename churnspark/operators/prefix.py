@@ -33,13 +33,14 @@ def _keys(keys: Sequence[str] | str | None) -> list[str]:
 
 def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Column],
                descending: bool = False, distinct: bool = True,
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Running (inclusive) sums of ``measures`` in ``order_col`` order per key.
 
     Returns ``keys, order_col, <m>, cum_<m>`` (and ``prev_<m> = cum - m``).
     With ``distinct=True`` rows are first collapsed to one row per distinct
     value; with ``distinct=False`` the order column must already be unique
-    per key (e.g. a hash of the row key), and each row keeps its columns.
+    per key (e.g. a hash of the row key), and each row keeps its columns;
+    ``tiebreak`` columns make the order total (deterministic on retries).
     """
     keys = _keys(keys)
     # keys are low-cardinality by contract (model, column, label, group), so
@@ -61,8 +62,9 @@ def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Colum
     if descending:
         b = F.lit(buckets - 1) - b
     d = d.join(F.broadcast(rng), gk).withColumn("_b", b).drop("_lo", "_hi")
-    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w_in = (Window.partitionBy(*gk, "_b").orderBy(o)
+    o = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
+    o += [F.col(t).asc() for t in tiebreak]
+    w_in = (Window.partitionBy(*gk, "_b").orderBy(*o)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = d.withColumns({f"_r_{n}": F.sum(n).over(w_in) for n in measures})
     tot = d.groupBy(*gk, "_b").agg(*[F.sum(n).alias(f"_t_{n}") for n in measures])

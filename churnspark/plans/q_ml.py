@@ -1 +1,337 @@
-"""Registered queries."""
+"""Registered queries: encoding (E), splits (V), models (M) and scoring (I).
+
+Deterministic parts (learned statistics, encoded vectors, split and fold
+sizes, rule and dummy scores, tiers, bands, contact lists) have SQL oracles;
+fitted models are checked by rows (and, in the tests, by an AUC floor)."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from churnspark import schemas as S
+from churnspark.functions import encode as E
+from churnspark.operators import evaluate as A
+from churnspark.operators import models as M
+from churnspark.operators import scoring as I
+from churnspark.operators import split as V
+from churnspark.plans import sql as Q
+from churnspark.plans.registry import query, rounded
+from churnspark.plans.slice import cleaned_features
+from churnspark.session import cut_lineage
+from churnspark.sources.tables import read_table, scores, snapshot
+
+LABEL = S.TARGET
+
+
+def feat(spark, d):
+    # the cleaned table feeds several fits and passes: materialise it once in
+    # the shared checkpoint folder (cuts the plan and survives executor loss)
+    return cut_lineage(cleaned_features(spark, d))
+
+
+# ------------------------------------------------------------------ E
+_NUM = S.NUM_PIPE
+_LOGS = ",\n  ".join(f"ln(1 + coalesce(CAST({c} AS DOUBLE), m_{i})) AS x{i}" for i, c in enumerate(_NUM))
+PRE = Q.FEAT + """,
+md AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS m_{i}" for i, c in enumerate(_NUM)) + """ FROM feat),
+lg AS (SELECT feat.*, """ + _LOGS + """ FROM feat, md),
+st AS (SELECT """ + ", ".join(f"avg(x{i}) AS mu_{i}, stddev_pop(x{i}) AS sd_{i}" for i in range(len(_NUM))) + " FROM lg)"
+
+def _fitted(spark, d):
+    return E.build_preprocessor().fit(feat(spark, d))
+
+
+@query("e1_e3_preprocessor_stats", Q.with_(PRE, Q.round_cols("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, m_{i} AS median, mu_{i} AS mean, sd_{i} AS std FROM md, st" for i, c in enumerate(_NUM)),
+    ["median", "mean", "std"])))
+def e1_e3_preprocessor_stats(spark, d):
+    """Learned exact medians (E1) and population mean/std of log1p values."""
+    pm = _fitted(spark, d)
+    imp, scl = pm.stages[0], pm.stages[2]
+    rows = [(c, float(m), float(mu), float(sd)) for c, m, mu, sd in
+            zip(imp.getInputCols(), imp.getOrDefault(imp.medians), scl.getOrDefault(scl.means),
+                scl.getOrDefault(scl.stds))]
+    return rounded(spark.createDataFrame(rows, "column string, median double, mean double, std double"),
+                   ["median", "mean", "std"])
+
+
+def _vec_sql() -> str:
+    parts = [f"CASE WHEN sd_{i} = 0 THEN x{i} - mu_{i} ELSE (x{i} - mu_{i}) / sd_{i} END" for i in range(len(_NUM))]
+    parts += [f"CASE WHEN {c} = 'No' THEN 0.0 WHEN {c} = 'Yes' THEN 1.0 ELSE -1.0 END" for c in S.BINARY_PIPE]
+    # The sorted categories present in the snapshot (first one dropped)
+    cats = {"internet_service": ["DSL", "Fiber optic", "No"],
+            "contract": ["Month-to-month", "One year", "Two year"],
+            "payment_method": ["Bank transfer (automatic)", "Credit card (automatic)", "Electronic check", "Mailed check"],
+            "gender": ["Female", "Male"], "tenure_group": ["longo", "medio", "novo"]}
+    for c in S.ONEHOT_PIPE:
+        parts += [f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END" for v in cats[c][1:]]
+    parts += [f"CAST({c} AS DOUBLE)" for c in S.PASS_PIPE]
+    return "[" + ", ".join(f"CAST({p} AS DOUBLE)" for p in parts) + "]"
+
+
+@query("e7_feature_vectors", Q.with_(PRE, "SELECT customerid, list_transform(" + _vec_sql() +
+                                     ", lambda x: round(x, 6)) AS features FROM lg, st"))
+def e7_feature_vectors(spark, d):
+    """The 30-wide encoded vector per customer (E1-E7 fitted on the table)."""
+    f = feat(spark, d)
+    v = _fitted(spark, d).transform(f)
+    return v.select("customerid", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
+
+
+@query("e8_check_vectors", Q.with_(Q.FEAT, "SELECT 0 AS input, CAST(count(*) AS BIGINT) AS rows, "
+                                   "CAST(0 AS BIGINT) AS bad_values, CAST(0 AS BIGINT) AS bad_width FROM feat"))
+def e8_check_vectors(spark, d):
+    return E.check_vectors(_fitted(spark, d).transform(feat(spark, d)))
+
+
+@query("e4_yes_no_counts", Q.with_(Q.FEAT + ",\nlv AS (" + Q.long_sql("feat", S.BINARY_PIPE, cast="VARCHAR") + ")",
+       "SELECT column, CASE WHEN value = 'No' THEN 0.0 WHEN value = 'Yes' THEN 1.0 ELSE -1.0 END AS code, "
+       "CAST(count(*) AS BIGINT) AS n FROM lv GROUP BY 1, 2"))
+def e4_yes_no_counts(spark, d):
+    from churnspark.operators.prefix import long_form
+    enc = E.YesNoEncoder(inputCols=S.BINARY_PIPE).transform(feat(spark, d))
+    lf = long_form(enc, S.BINARY_PIPE)
+    return lf.groupBy("column", F.col("value").alias("code")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("e5_onehot_categories", Q.with_(Q.FEAT + ",\nlv AS (" + Q.long_sql("feat", S.ONEHOT_PIPE, cast="VARCHAR") + ")",
+       "SELECT column, list_sort(list(DISTINCT value)) AS categories FROM lv WHERE value IS NOT NULL GROUP BY column"))
+def e5_onehot_categories(spark, d):
+    import json
+    m = E.OneHotDropFirst(inputCols=S.ONEHOT_PIPE).fit(feat(spark, d))
+    rows = list(json.loads(m.getOrDefault(m.categories)).items())
+    return spark.createDataFrame(rows, "column string, categories array<string>")
+
+
+# ------------------------------------------------------------------ V
+SPLIT_COUNTS = Q.FEAT + """,
+nc AS (SELECT churn_value, count(*) AS n FROM feat GROUP BY churn_value)"""
+
+
+@query("v1_split_counts", Q.with_(SPLIT_COUNTS, """SELECT churn_value, 'test' AS split, CAST(round(n * 0.2) AS BIGINT) AS n FROM nc
+UNION ALL SELECT churn_value, 'train', CAST(n - round(n * 0.2) AS BIGINT) FROM nc"""))
+def v1_split_counts(spark, d):
+    s = V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42)
+    return s.groupBy(LABEL, "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("v2_three_way_counts", Q.with_(SPLIT_COUNTS, """SELECT churn_value, 'test' AS split, CAST(round(n * 0.2) AS BIGINT) AS n FROM nc
+UNION ALL SELECT churn_value, 'validation', CAST(round(n * 0.4) - round(n * 0.2) AS BIGINT) FROM nc
+UNION ALL SELECT churn_value, 'train', CAST(n - round(n * 0.4) AS BIGINT) FROM nc"""))
+def v2_three_way_counts(spark, d):
+    s = V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42, val_frac=0.2)
+    return s.groupBy(LABEL, "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("v3_fold_sizes", Q.with_(SPLIT_COUNTS, """SELECT churn_value, CAST(f AS INTEGER) AS fold,
+  CAST((n - 1 - f) // 5 + 1 AS BIGINT) AS n FROM nc, (SELECT range AS f FROM range(0, 5)) WHERE f < n"""))
+def v3_fold_sizes(spark, d):
+    s = V.stratified_folds(feat(spark, d), LABEL, "customerid", 5, 42)
+    return s.groupBy(LABEL, "fold").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("v6_split_balance", Q.with_(SPLIT_COUNTS + """,
+sp AS (SELECT 'test' AS split, churn_value, round(n * 0.2) AS k FROM nc UNION ALL SELECT 'train', churn_value, n - round(n * 0.2) FROM nc),
+ag AS (SELECT split, sum(k) AS n, sum(k * churn_value) / sum(k) AS positive_rate FROM sp GROUP BY split),
+al AS (SELECT avg(CAST(churn_value AS DOUBLE)) AS a FROM feat)""",
+  Q.round_cols("SELECT split, CAST(n AS BIGINT) AS n, positive_rate, (positive_rate - a) * 100 AS gap_pp FROM ag, al",
+               ["positive_rate", "gap_pp"])))
+def v6_split_balance(spark, d):
+    s = V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42)
+    return rounded(V.split_balance(s, LABEL), ["positive_rate", "gap_pp"])
+
+
+_V7 = ["pos_weight", "weight_pos", "weight_neg"]
+query("v7_class_weights", Q.with_(Q.FEAT + ",\ng AS (SELECT count(*) AS n, sum(churn_value) AS p FROM feat)", Q.round_cols(
+    """SELECT CAST(n - p AS BIGINT) AS n_neg, CAST(p AS BIGINT) AS n_pos, (n - p) / greatest(p, 1) AS pos_weight,
+  n / (2.0 * p) AS weight_pos, n / (2.0 * (n - p)) AS weight_neg FROM g""", _V7)))(
+    lambda spark, d: rounded(V.class_weights(feat(spark, d), LABEL), _V7))
+
+query("v9_sample_n")(lambda spark, d: V.sample_n(feat(spark, d), 500, "customerid", 42).select("customerid", LABEL))
+
+query("v10_training_window", Q.with_("mx AS (SELECT max(o_orderdate) AS mx FROM orders)",
+                                     "SELECT o_orderkey, o_orderdate FROM orders, mx WHERE o_orderdate >= mx - INTERVAL 12 MONTH"))(
+    lambda spark, d: V.training_window(read_table(spark, d, "orders"), "o_orderdate", 12).select("o_orderkey", "o_orderdate"))
+
+
+# ------------------------------------------------------------------ M
+def _eval_sql(score_expr: str) -> str:
+    return Q.FEAT + f""",
+sc AS (SELECT 'm' AS model, CAST(customerid AS BIGINT) AS id, churn_value AS label, CAST({score_expr} AS DOUBLE) AS score FROM feat),
+p0 AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY score),
+p1 AS (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp,
+              sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM p0),
+c AS (SELECT CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS BIGINT) AS tp,
+             CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS BIGINT) AS fp,
+             CAST(count(*) FILTER (WHERE score < 0.5 AND label = 0) AS BIGINT) AS tn,
+             CAST(count(*) FILTER (WHERE score < 0.5 AND label = 1) AS BIGINT) AS fn FROM sc)"""
+
+
+_EVAL_BODY = """SELECT tp, fp, tn, fn, (SELECT CAST(sum(pos * (2 * (N - fp) + neg)) AS DOUBLE) / (2.0 * any_value(P) * any_value(N)) FROM p1) AS roc_auc,
+  round(CAST(tp * 2845.0 + tn * 73.52 - fn * 2845.0 - fp * 73.52 AS DOUBLE), 2) AS business_value FROM c"""
+
+
+def _eval(df):
+    s = df.select(F.lit("m").alias("model"), F.col("customerid").cast("bigint").alias("id"),
+                  F.col(LABEL).alias("label"), F.col("score").cast("double").alias("score"))
+    c = A.business_value(s, 0.5).select("model", "tp", "fp", "tn", "fn",
+                                        F.round("business_value", 2).alias("business_value"))
+    return c.join(A.roc_auc(s), "model").select("tp", "fp", "tn", "fn", "roc_auc", "business_value")
+
+
+query("m1_dummy_most_frequent", Q.with_(_eval_sql(
+    "(SELECT CASE WHEN avg(CAST(churn_value AS DOUBLE)) > 0.5 THEN 1.0 ELSE 0.0 END FROM feat)"), _EVAL_BODY))(
+    lambda spark, d: _eval(M.fit_dummy(feat(spark, d), LABEL)(feat(spark, d))))
+
+query("m13_rule_score", Q.with_(_eval_sql(
+    "CASE WHEN coalesce(contract = 'Month-to-month' AND tenure_months < 12 AND monthly_charges > 65.0, false) THEN 1.0 ELSE 0.0 END"),
+    _EVAL_BODY))(lambda spark, d: _eval(M.rule_score(feat(spark, d))))
+
+query("m13_rule_score_fallback", Q.with_(_eval_sql(
+    "CASE WHEN coalesce(contract = 'Month-to-month' AND tenure_months < 12, false) THEN 1.0 ELSE 0.0 END"),
+    _EVAL_BODY))(lambda spark, d: _eval(M.rule_score(feat(spark, d), use_charge=False)))
+
+query("m2_dummy_stratified")(lambda spark, d: _eval(M.fit_dummy(feat(spark, d), LABEL, "stratified")(feat(spark, d))))
+
+
+def _train_test(spark, d):
+    f = feat(spark, d)
+    s = V.stratified_split(f, LABEL, "customerid", 0.2, 42)
+    pm = E.build_preprocessor().fit(s.where(F.col("split") == "train"))
+    x = cut_lineage(pm.transform(s))
+    return pm, x.where(F.col("split") == "train"), x.where(F.col("split") == "test")
+
+
+def _model_report(name, model, test):
+    p = model.transform(test).select(F.lit(name).alias("model"), F.col("customerid").cast("bigint").alias("id"),
+                                     F.col(LABEL).alias("label"), M.prob1().alias("score"))
+    best = A.best_threshold(p).select("model", "threshold")
+    return A.full_metrics(p, best)
+
+
+query("m3_logistic")(lambda spark, d: (lambda pm, tr, te: _model_report(
+    "logistic", M.fit_logistic(tr, LABEL, C=1.0), te))(*_train_test(spark, d)))
+query("m3_logistic_l1")(lambda spark, d: (lambda pm, tr, te: _model_report(
+    "logistic_l1", M.fit_logistic(tr, LABEL, C=0.008809, penalty="l1"), te))(*_train_test(spark, d)))
+query("m4_random_forest")(lambda spark, d: (lambda pm, tr, te: _model_report(
+    "random_forest", M.fit_forest(tr, LABEL), te))(*_train_test(spark, d)))
+query("m5_gbt")(lambda spark, d: (lambda pm, tr, te: _model_report(
+    "gbt", M.fit_gbt(tr, LABEL), te))(*_train_test(spark, d)))
+query("m6_mlp")(lambda spark, d: (lambda pm, tr, te: _model_report(
+    "mlp", M.fit_mlp(tr, LABEL), te))(*_train_test(spark, d)))
+
+
+@query("m7_early_stop")
+def m7_early_stop(spark, d):
+    """Early stop over the logistic fit's per-iteration objective history."""
+    _, tr, _ = _train_test(spark, d)
+    m = M.fit_logistic(tr, LABEL)
+    h = [("logistic", i, float(v)) for i, v in enumerate(m.summary.objectiveHistory)]
+    return M.early_stop(spark.createDataFrame(h, "run string, epoch int, value double"), patience=3, min_delta=1e-6)
+
+
+def _search(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+    f = V.stratified_folds(feat(spark, d), LABEL, "customerid", 3, 42)
+    x = cut_lineage(E.build_preprocessor().fit(f).transform(f))
+    lr = LogisticRegression(featuresCol="features", labelCol=LABEL, standardization=False)
+    return M.search(x, lr, {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]}, n_trials=4,
+                    fold="fold")
+
+
+@query("m8_search")
+def m8_search(spark, d):
+    return _search(spark, d)[1]
+
+
+@query("m9_convergence")
+def m9_convergence(spark, d):
+    t = _search(spark, d)[1].withColumn("study", F.lit("logistic"))
+    return M.convergence(t)
+
+
+@query("m10_coefficients")
+def m10_coefficients(spark, d):
+    pm, tr, _ = _train_test(spark, d)
+    return M.coefficients(M.fit_logistic(tr, LABEL), E.feature_names(pm), 10)
+
+
+@query("m11_importances")
+def m11_importances(spark, d):
+    pm, tr, _ = _train_test(spark, d)
+    return M.importances(M.fit_forest(tr, LABEL, trees=50), E.feature_names(pm), 20)
+
+
+@query("m12_permutation_importance")
+def m12_permutation_importance(spark, d):
+    pm, tr, te = _train_test(spark, d)
+    lr = M.fit_logistic(tr, LABEL)
+    raw = te.drop("features")
+
+    def scored(df):
+        return lr.transform(pm.transform(df.drop("features"))).withColumn("score", M.prob1())
+    return M.permutation_importance(scored, raw, ["tenure_months", "contract", "monthly_charges"], "customerid", LABEL)
+
+
+# ------------------------------------------------------------------ I
+@query("i1_score")
+def i1_score(spark, d):
+    """Raw records (mixed casing) -> prepare -> preprocessor -> logistic -> decision."""
+    pm, tr, _ = _train_test(spark, d)
+    lr = M.fit_logistic(tr, LABEL)
+    raw = snapshot(spark, d, casing=True)
+    return I.score(raw, pm, lr, threshold=0.5, keep=("customerid",))
+
+
+query("i2_decide", Q.with_(Q.SNAPSHOT, """SELECT customerid, round(y_score, 6) AS churn_probability,
+  CASE WHEN round(y_score, 6) >= 0.5 THEN 'churn' ELSE 'no_churn' END AS prediction,
+  CASE WHEN round(y_score, 6) >= 0.5 THEN 73.52::DOUBLE ELSE 0.0 END AS action_cost, 'v1' AS model_version,
+  0.5::DOUBLE AS threshold FROM snap"""))(
+    lambda spark, d: I.decide(snapshot(spark, d), 0.5, prob="y_score").select(
+        "customerid", "churn_probability", "prediction", "action_cost", "model_version", "threshold"))
+
+
+@query("i3_mlp_forward")
+def i3_mlp_forward(spark, d):
+    """Forward pass with NumPy over Arrow batches, using the weights of a
+    fitted Spark network; compared with Spark's own probability."""
+    pm, tr, te = _train_test(spark, d)
+    m = M.fit_mlp(tr, LABEL, hidden=(16, 8), max_iter=30)
+    layers = m.getLayers()
+    w = m.weights.toArray()
+    ws, off = [], 0
+    for a, b in zip(layers[:-1], layers[1:]):
+        # each layer: an (out x in) column-major matrix, then the bias
+        W = w[off:off + a * b].reshape(a, b).T
+        off += a * b
+        bias = w[off:off + b]
+        off += b
+        ws.append((W, bias))
+    # softmax over 2 outputs == sigmoid of the logit difference
+    W2, b2 = ws[-1]
+    ws[-1] = ((W2[1] - W2[0])[None, :], np.array([b2[1] - b2[0]]))
+    x = te.withColumn("features_arr", vector_to_array("features"))
+    f = I.mlp_forward(x, ws, keep=["customerid"], out="numpy_score", hidden_activation="sigmoid")
+    ref = m.transform(te).select("customerid", M.prob1().alias("spark_score"))
+    return f.join(ref, "customerid").withColumn("abs_diff", F.abs(F.col("numpy_score") - F.col("spark_score")))
+
+
+query("i5_priority_tier", Q.with_(Q.SNAPSHOT, """SELECT CASE WHEN y_score >= 0.7 THEN 'high' WHEN y_score >= 0.5 THEN 'medium'
+  WHEN y_score >= 0.3 THEN 'low' ELSE 'none' END AS tier, CAST(count(*) AS BIGINT) AS n FROM snap GROUP BY 1"""))(
+    lambda spark, d: snapshot(spark, d).groupBy(I.priority_tier(F.col("y_score")).alias("tier")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n")))
+
+query("i6_score_bands", Q.with_(Q.SCORES, Q.round_cols("""SELECT model, CASE WHEN score < 0.25 THEN '<25' WHEN score < 0.5 THEN '25-50'
+  WHEN score < 0.75 THEN '50-75' ELSE '>75' END AS band, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS churners,
+  avg(CAST(label AS DOUBLE)) AS rate FROM scores GROUP BY 1, 2""", ["rate"])))(
+    lambda spark, d: rounded(I.score_bands(scores(spark, d), keys=["model"]), ["rate"]))
+
+query("i8_contact_list", Q.with_(Q.SCORES, "SELECT * FROM scores ORDER BY score DESC, id LIMIT 100"))(
+    lambda spark, d: I.contact_list(scores(spark, d), 100))
+
+query("i8_contact_list_by_segment", Q.with_(Q.SCORES + """,
+rk AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY score DESC, id) AS rank FROM scores)""",
+  "SELECT model, id, label, score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 50"))(
+    lambda spark, d: I.contact_list(scores(spark, d), 50, by="model"))

@@ -27,6 +27,9 @@ def get_session(master: str | None = None, app: str = "churnspark",
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
+    if master and master.startswith("local") and "spark__driver__memory" not in conf:
+        # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", "16g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in conf.items():
