@@ -19,7 +19,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnspark import schemas as S
@@ -196,7 +196,7 @@ def search(train: DataFrame, estimator, param_space: dict, n_trials: int = 10, f
 # ---------------------------------------------------------------- M10-M12
 def coefficients(model, names: Sequence[str], k: int = 10) -> DataFrame:
     """Logistic coefficients with names, top-k by absolute value."""
-    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     rows = [(n, float(c)) for n, c in zip(names, model.coefficients.toArray())]
     df = spark.createDataFrame(rows, "feature string, coefficient double")
     return df.orderBy(F.abs("coefficient").desc(), "feature").limit(k)
@@ -204,7 +204,7 @@ def coefficients(model, names: Sequence[str], k: int = 10) -> DataFrame:
 
 def importances(model, names: Sequence[str], k: int = 20) -> DataFrame:
     """Tree feature importances, top-k."""
-    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), "feature").limit(k)

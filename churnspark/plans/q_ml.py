@@ -266,12 +266,15 @@ def m11_importances(spark, d):
 
 @query("m12_permutation_importance")
 def m12_permutation_importance(spark, d):
-    pm, tr, te = _train_test(spark, d)
-    lr = M.fit_logistic(tr, LABEL)
-    raw = te.drop("features")
+    """AUC drop of the fitted pipeline + logistic model on the raw test rows
+    when one input column is permuted."""
+    s = cut_lineage(V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42))
+    pm = E.build_preprocessor().fit(s.where(F.col("split") == "train"))
+    lr = M.fit_logistic(pm.transform(s.where(F.col("split") == "train")), LABEL)
+    raw = s.where(F.col("split") == "test")
 
     def scored(df):
-        return lr.transform(pm.transform(df.drop("features"))).withColumn("score", M.prob1())
+        return lr.transform(pm.transform(df)).withColumn("score", M.prob1())
     return M.permutation_importance(scored, raw, ["tenure_months", "contract", "monthly_charges"], "customerid", LABEL)
 
 

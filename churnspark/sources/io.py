@@ -185,8 +185,10 @@ def parse_records(df: DataFrame, json_col: str = "value") -> DataFrame:
     norm = F.transform(keys, lambda k: F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(
         F.regexp_replace(F.trim(k), r"([a-z0-9])([A-Z])", "$1_$2"), r"[\s\-]+", "_"), "_+", "_")),
         "^_+|_+$", ""))
+    def alias_fn(a, b):
+        return lambda k: F.when(k == a, F.lit(b)).otherwise(k)
     for a, b in KEY_ALIASES.items():
-        norm = F.transform(norm, lambda k, a=a, b=b: F.when(k == a, F.lit(b)).otherwise(k))
+        norm = F.transform(norm, alias_fn(a, b))
     nm = F.map_from_arrays(norm, F.map_values(m))
     x = df.withColumn("_m", nm)
     return x.select(*[c for c in df.columns if c != json_col],

@@ -29,8 +29,9 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataF
     """The ``events`` table as a file stream (explicit schema, no inference)."""
     path = os.path.join(sf_dir, "events.parquet")
     schema = spark.read.parquet(path).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .parquet(path + "*"))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path + "*")
+    # watermarks need TIMESTAMP (with time zone semantics); the file stores NTZ
+    return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _work_dir(spark: SparkSession, name: str) -> str:
