@@ -31,7 +31,7 @@ def charges_per_month(monthly: str = "monthly_charges", tenure: str = "tenure_mo
     NumPy rounds ``rint(x * 10**4) / 10**4`` (half-to-even on the binary
     product), which differs from ``bround`` (half-even on the decimal text)
     for values such as 1.26625; ``rint`` reproduces NumPy exactly."""
-    return numpy_round(F.col(monthly) / (F.col(tenure) + 1), 4)
+    return numpy_round(F.try_divide(F.col(monthly), F.col(tenure) + 1), 4)
 
 
 def numpy_round(c: Column, digits: int) -> Column:

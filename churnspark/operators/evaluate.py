@@ -89,7 +89,7 @@ def roc_auc(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
     p = score_points(df, keys, **kw)
     num = F.sum(F.col("pos") * (2 * (F.col("N") - F.col("fp")) + F.col("neg")))
     return p.groupBy(*keys).agg(
-        (num.cast("double") / (2.0 * F.first("P").cast("double") * F.first("N").cast("double")))
+        F.try_divide(num.cast("double"), 2.0 * F.first("P").cast("double") * F.first("N").cast("double"))
         .alias("roc_auc"))
 
 

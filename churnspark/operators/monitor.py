@@ -41,21 +41,27 @@ def reference_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
 
 
 def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10,
-        eps: float = 1e-4, edges: DataFrame | None = None) -> DataFrame:
+        eps: float = 1e-4, edges: DataFrame | dict | None = None) -> DataFrame:
     """Population stability index per column against reference deciles.
 
+    The reference edges are a small fitted artifact (#columns x (bins-1)
+    values, R25): they are computed once and enter the plan as a literal
+    map, so the current data is binned in a single pass without a join.
     Bin b holds values in (e_b, e_{b+1}] (first bin open below, last open
     above); empty-bin shares are floored at ``eps``."""
-    e = edges if edges is not None else reference_edges(ref, cols, bins)
-    e = F.broadcast(e.select("column", "edges"))      # one row per column
+    if edges is None:
+        edges = reference_edges(ref, cols, bins)
+    if isinstance(edges, DataFrame):
+        edges = {r["column"]: [float(x) for x in r["edges"]] for r in edges.select("column", "edges").collect()}
+    emap = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(v) for v in edges[c]]))])
 
     def counts(df, name):
-        lf = long_form(df, cols).where(F.col("value").isNotNull()).join(e, "column")
-        b = F.size(F.filter(F.col("edges"), lambda x: x < F.col("value")))
-        g = lf.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias(name))
-        return g
+        lf = long_form(df, cols).where(F.col("value").isNotNull())
+        b = F.size(F.filter(F.element_at(emap, F.col("column")), lambda x: x < F.col("value")))
+        return lf.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias(name))
 
-    allbins = e.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    spark = ref.sparkSession
+    allbins = spark.createDataFrame([(c, b) for c in cols for b in range(bins)], "column string, bin int")
     j = (allbins.join(counts(ref, "n_ref"), ["column", "bin"], "left")
                 .join(counts(cur, "n_cur"), ["column", "bin"], "left")
                 .fillna(0, ["n_ref", "n_cur"]))

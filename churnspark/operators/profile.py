@@ -84,7 +84,7 @@ def z_outliers(df: DataFrame, cols: Sequence[str], by=None, z: float = 3.0) -> D
     lf = numeric_long(df, cols, by)
     st = lf.groupBy(*keys).agg(F.avg("value").alias("_mu"), F.stddev_pop("value").alias("_sd"))
     j = lf.join(F.broadcast(st), keys)
-    out = F.coalesce(F.abs((F.col("value") - F.col("_mu")) / F.col("_sd")) > z, F.lit(False))
+    out = F.coalesce(F.abs(F.try_divide(F.col("value") - F.col("_mu"), F.col("_sd"))) > z, F.lit(False))
     return j.groupBy(*keys).agg(F.count_if(out).cast("bigint").alias("n_outliers"),
                                 (F.count_if(out) * 100.0 / F.count(F.lit(1))).alias("pct_outliers"))
 
@@ -154,8 +154,8 @@ def shape_stats(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     g = lf.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("n"),
                               F.skewness("value").alias("g1"), F.kurtosis("value").alias("g2"))
     n = F.col("n")
-    G1 = F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2)
-    G2 = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
+    G1 = F.try_divide(F.col("g1") * F.sqrt(n * (n - 1)), n - 2)
+    G2 = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
     return g.select(*keys, n.cast("bigint").alias("n"), G1.alias("skewness"), G2.alias("kurtosis"),
                     _label(G1, "left-skewed", "symmetric", "right-skewed").alias("skew_label"),
                     _label(G2, "platykurtic", "mesokurtic", "leptokurtic").alias("kurtosis_label"))

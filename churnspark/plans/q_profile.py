@@ -10,6 +10,7 @@ from churnspark.operators import profile as D
 from churnspark.plans import sql as Q
 from churnspark.plans.registry import query, rounded
 from churnspark.plans.slice import cleaned_features
+from churnspark.session import cut_lineage
 from churnspark.sources.tables import snapshot
 
 NUM = ["tenure_months", "monthly_charges", "total_charges"]
@@ -23,7 +24,9 @@ LFC = Q.FEAT + ",\nlc AS (" + Q.long_sql("feat", CAT, keep=[LABEL], cast="VARCHA
 
 
 def feat(spark, d):
-    return cleaned_features(spark, d)
+    # profiles read the cleaned table many times: materialise it once in the
+    # shared checkpoint folder (reliable; cuts the plan)
+    return cut_lineage(cleaned_features(spark, d))
 
 
 def edge_bin_sql(v: str, lo: str, hi: str, n: int, right_closed: bool = False) -> str:
