@@ -78,8 +78,13 @@ def test_long_form(spark):
 
 
 def test_no_single_partition_exchange_in_auc_plan(spark):
+    """The large side is never moved to one partition: rows are windowed
+    inside (model, bucket), and with a real model column no exchange is
+    SinglePartition at all."""
     from churnspark.operators.evaluate import roc_auc
-    df = spark.range(1000).select(F.lit("m").alias("model"), (F.col("id") % 2).cast("int").alias("label"),
+    df = spark.range(1000).select(F.concat(F.lit("m"), (F.col("id") % 2).cast("string")).alias("model"),
+                                  (F.col("id") % 3 == 0).cast("int").alias("label"),
                                   (F.col("id") / 1000.0).alias("score"))
     plan = roc_auc(df)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+    assert "hashpartitioning(model" in plan and "_b" in plan
