@@ -197,3 +197,66 @@ def s11_parse_records(spark, d):
     js = s.select("customerid", F.to_json(F.struct(*[F.col(c).cast("string").alias(title[c])
                                                      for c in S.INPUT_FIELDS])).alias("value"))
     return parse_records(js, "value")
+
+
+# ------------------------------------------------------------------ P1/P2/P6/P7, P10, F8, F10, F11
+@query("p1_p2_p6_p7_normalize_columns", Q.with_(Q.SNAPSHOT, "SELECT " + ", ".join(S.INPUT_FIELDS) +
+                                                ", CAST(churn_value AS INTEGER) AS churn_value FROM snap"))
+def p1_p2_p6_p7_normalize_columns(spark, d):
+    """Raw file header spellings (Title Case, 'Monthly Charge', 'Churn Value'
+    as text) -> snake_case (P1) -> key aliases (P2) -> the 19 inputs (P6) ->
+    target resolved and cast (P7)."""
+    s = T.snapshot(spark, d)
+    title = {c: ("Monthly Charge" if c == "monthly_charges" else " ".join(w.capitalize() for w in c.split("_")))
+             for c in S.INPUT_FIELDS}
+    raw = s.select(*[F.col(c).alias(title[c]) for c in S.INPUT_FIELDS],
+                   F.col("churn_value").cast("string").alias("Churn Value"), F.col("cltv").alias("CLTV"))
+    df = C.resolve_target(C.alias_columns(C.snake_columns(raw)))
+    return C.select_inputs(df, keep=["churn_value"])
+
+
+@query("p10_impute_constant", Q.with_(Q.SNAPSHOT, "SELECT customerid, coalesce(TRY_CAST(total_charges AS DOUBLE), 0.0) "
+                                                 "AS total_charges FROM snap"))
+def p10_impute_constant(spark, d):
+    return C.impute_constant(raw_coerced(spark, d), "total_charges", 0.0).select("customerid", "total_charges")
+
+
+_F8 = (["missing_" + c for c in S.NEW_FEATURES] + ["not_binary_" + c for c in S.PASS_PIPE] +
+       ["num_services_out_of_range", "tenure_group_unknown", "charges_per_month_negative"])
+
+
+@query("f8_feature_violations", Q.with_(Q.FEAT, "SELECT " + ", ".join(
+    [f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing_{c}" for c in S.NEW_FEATURES] +
+    [f"CAST(count(*) FILTER (WHERE {c} NOT IN (0, 1)) AS BIGINT) AS not_binary_{c}" for c in S.PASS_PIPE] +
+    ["CAST(count(*) FILTER (WHERE num_services < 0 OR num_services > 7) AS BIGINT) AS num_services_out_of_range",
+     "CAST(count(*) FILTER (WHERE tenure_group NOT IN ('novo', 'medio', 'longo')) AS BIGINT) AS tenure_group_unknown",
+     "CAST(count(*) FILTER (WHERE charges_per_month < 0) AS BIGINT) AS charges_per_month_negative"]) + " FROM feat"))
+def f8_feature_violations(spark, d):
+    """F8 output contract as one aggregate of violation counts."""
+    return FT.feature_violations(cleaned_features(spark, d))
+
+
+@query("f10_f11_encode_and_log", Q.with_(Q.FEAT, "SELECT customerid, " + ", ".join(
+    f"CASE WHEN {c} = 'Yes' THEN 1 WHEN {c} = 'No' THEN 0 END AS {c}" for c in ["partner", "dependents",
+                                                                             "paperless_billing"]) +
+    ", round(ln(1 + total_charges), 6) AS total_charges_log FROM feat"))
+def f10_f11_encode_and_log(spark, d):
+    f = cleaned_features(spark, d)
+    x = FT.log1p_col(FT.yes_no_to_int(f, ["partner", "dependents", "paperless_billing"]), "total_charges")
+    return x.select("customerid", "partner", "dependents", "paperless_billing",
+                    F.round("total_charges_log", 6).alias("total_charges_log"))
+
+
+@query("a26_stack", Q.with_(Q.SCORES, """SELECT model, 'confusion' AS source, CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS BIGINT) AS tp,
+  NULL::DOUBLE AS roc_auc FROM scores GROUP BY model
+UNION ALL SELECT model, 'auc', NULL::BIGINT, CAST(sum(pos * (2 * (N - fp) + neg)) AS DOUBLE) / (2.0 * any_value(P) * any_value(N))
+FROM (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fp, sum(pos) OVER (PARTITION BY model) AS P,
+             sum(neg) OVER (PARTITION BY model) AS N
+      FROM (SELECT model, score, sum(label) AS pos, sum(1 - label) AS neg FROM scores GROUP BY model, score)) GROUP BY model"""))
+def a26_stack(spark, d):
+    """Result tables of different shape stacked by name (missing columns null)."""
+    from churnspark.operators import evaluate as A
+    s = T.scores(spark, d)
+    c = A.confusion(s, 0.5).select("model", F.lit("confusion").alias("source"), "tp")
+    a = A.roc_auc(s).select("model", F.lit("auc").alias("source"), "roc_auc")
+    return A.stack(c, a)
