@@ -115,3 +115,12 @@ def test_resolve_threshold_falls_through(spark):
     open(good, "w").write('{"test_metrics": {"threshold": 0.16}}')
     assert I.resolve_threshold(spark, [os.path.join(d, "missing.json"), bad, good]) == (0.16, good)
     assert I.resolve_threshold(spark, [bad]) == (0.5, "default")
+
+
+def test_numpy_forward_matches_spark_network(spark):
+    """The NumPy forward pass over Arrow batches reproduces Spark's own
+    network probabilities from the fitted weights."""
+    import __spark_entry__ as EN
+    from conftest import SF001
+    r = EN.queries()["i3_mlp_forward"](spark, SF001).agg(F.max("abs_diff").alias("m"), F.count("*").alias("n")).first()
+    assert r.n > 0 and r.m < 1e-6
