@@ -88,3 +88,16 @@ def test_no_single_partition_exchange_in_auc_plan(spark):
     plan = roc_auc(df)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "hashpartitioning(model" in plan and "_b" in plan
+
+
+def test_flagship_scans_are_pruned(spark):
+    """Projection pruning reaches the parquet scans: orders and customer are
+    read with only the columns the snapshot uses."""
+    import re
+    import __spark_entry__ as E
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas, plan[:500]
+    for s in schemas:
+        cols = {c.split(":")[0] for c in s.split(",")}
+        assert cols <= {"o_custkey", "o_totalprice", "o_orderdate", "c_custkey", "c_acctbal", "c_nationkey"}, cols
