@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -60,7 +61,10 @@ def run_available(df: DataFrame, name: str, mode: str = "append",
     progress = q.recentProgress
     dropped = sum(p.get("stateOperators", [{}])[0].get("numRowsDroppedByWatermark", 0)
                   for p in progress if p.get("stateOperators"))
-    res = spark.read.parquet(out) if os.path.exists(out) else spark.createDataFrame([], df.schema)
+    try:       # the output folder may be on any Hadoop filesystem (shared folder)
+        res = spark.read.parquet(out)
+    except AnalysisException:           # nothing was written (no input rows)
+        res = spark.createDataFrame([], df.schema)
     res._late_rows = dropped      # R24: rows dropped as late, from progress events
     return res
 
