@@ -142,11 +142,18 @@ def contact_list(df: DataFrame, k: int, by: str | None = None, score: str = "sco
 
 def readiness(spark, model_path: str | None, preprocessor_path: str | None, version: str,
               threshold: float) -> DataFrame:
-    """One-row readiness table (artifacts present, version, threshold)."""
-    import os
+    """One-row readiness table (artifacts present, version, threshold).
+
+    Presence is checked through the Hadoop filesystem of each path, so model
+    folders may live on any shared storage."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def ok(p):
-        return bool(p) and os.path.exists(p)
+        if not p:
+            return False
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        return bool(hp.getFileSystem(conf).exists(hp))
 
     return spark.createDataFrame([(ok(model_path), ok(preprocessor_path), version, float(threshold))],
                                  "model_loaded boolean, preprocessor_loaded boolean, version string, threshold double")
