@@ -124,3 +124,9 @@ def test_numpy_forward_matches_spark_network(spark):
     from conftest import SF001
     r = EN.queries()["i3_mlp_forward"](spark, SF001).agg(F.max("abs_diff").alias("m"), F.count("*").alias("n")).first()
     assert r.n > 0 and r.m < 1e-6
+
+
+def test_readiness_flags(spark):
+    d = tempfile.mkdtemp(prefix="ready-")
+    r = I.readiness(spark, d, os.path.join(d, "missing"), "v1", 0.16).first()
+    assert (r.model_loaded, r.preprocessor_loaded, r.version, r.threshold) == (True, False, "v1", 0.16)
