@@ -46,17 +46,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a private folder made when the setting is absent; on a cluster its absence
     is an error, since a machine-local folder would break later reads.
     """
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and current.isDefined():
+        return current.get()
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
-    if not d:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="churnspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not current.isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 

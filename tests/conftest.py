@@ -17,7 +17,6 @@ def spark():
     # tests own the session: a private checkpoint folder is set only here
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="churnspark-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
         s.sparkContext.setCheckpointDir(d)
     yield s
 
