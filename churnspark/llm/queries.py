@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import table
+from churnspark.llm.quality_net import quality_net
+from churnspark.llm.quality_rules import quality_rules
 from churnspark.llm.urlfilter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +56,15 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j W
 """)
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), literal_rows(spark, ["host", "path", "verdict"], URL_RULES))
+
+
+@query("op4_quality_net")
+def op4_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "p_good")
