@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from churnspark.llm.common import table
 from churnspark.llm.quality_net import quality_net
 from churnspark.llm.quality_rules import quality_rules
+from churnspark.llm.simhash import near_duplicates
 from churnspark.llm.urlfilter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "p_good")
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, budget=3)
