@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import table
+from churnspark.llm.multiset import edit_fingerprints
 from churnspark.llm.quality_net import quality_net
 from churnspark.llm.quality_rules import quality_rules
 from churnspark.llm.simhash import near_duplicates
@@ -74,3 +75,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, budget=3)
+
+
+@query("op7_multiset")
+def op7_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
