@@ -11,6 +11,7 @@ from churnspark.llm.common import table
 from churnspark.llm.multiset import edit_fingerprints
 from churnspark.llm.quality_net import quality_net
 from churnspark.llm.quality_rules import quality_rules
+from churnspark.llm.secrets import secret_digest
 from churnspark.llm.simhash import near_duplicates
 from churnspark.llm.urlfilter import url_filter
 
@@ -80,3 +81,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_multiset")
 def op7_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
