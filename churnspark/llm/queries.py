@@ -12,6 +12,7 @@ from churnspark.llm.multiset import edit_fingerprints
 from churnspark.llm.quality_net import quality_net
 from churnspark.llm.quality_rules import quality_rules
 from churnspark.llm.secrets import secret_digest
+from churnspark.llm.shard import shard
 from churnspark.llm.simhash import near_duplicates
 from churnspark.llm.urlfilter import url_filter
 
@@ -86,3 +87,10 @@ def op7_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op1_shard")
+def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
