@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from churnspark.llm.common import table
 from churnspark.llm.multiset import edit_fingerprints
+from churnspark.llm.packing import pack
 from churnspark.llm.quality_net import quality_net
 from churnspark.llm.quality_rules import quality_rules
 from churnspark.llm.secrets import secret_digest
@@ -94,3 +95,13 @@ def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=1024)
