@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import table
+from churnspark.llm.mixing import mix_rates
 from churnspark.llm.multiset import edit_fingerprints
 from churnspark.llm.packing import pack
 from churnspark.llm.quality_net import quality_net
@@ -105,3 +106,18 @@ def tokenizer_file() -> str:
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), capacity=1024)
+
+
+#: Domains told by the labels, and the shares of the mix's tokens that they are to have.
+MIX_TARGETS = {"plain": 0.92, "low": 0.03, "toxic": 0.05}
+
+
+def label_domains(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low")
+                         .otherwise("plain").alias("domain"))
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_rates(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), MIX_TARGETS).select(
+        "doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(MIX_TARGETS)], "rate", "copies")
