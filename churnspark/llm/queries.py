@@ -16,6 +16,7 @@ from churnspark.llm.quality_rules import quality_rules
 from churnspark.llm.secrets import secret_digest
 from churnspark.llm.shard import shard
 from churnspark.llm.simhash import near_duplicates
+from churnspark.llm.suffix import dedup_substrings
 from churnspark.llm.urlfilter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +122,9 @@ def label_domains(labels: DataFrame) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_rates(table(spark, sf_dir, "documents"), label_domains(table(spark, sf_dir, "labels")), MIX_TARGETS).select(
         "doc_id", "tokens", *[F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(MIX_TARGETS)], "rate", "copies")
+
+
+@query("op6_suffix")
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"), least=200, keep="none", texts=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
