@@ -14,11 +14,10 @@ in blocks of ``BLOCK`` chunks, so memory does not follow a text's length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +31,6 @@ class Net:
     bias: np.ndarray  # f
     weights: np.ndarray  # 2 f
     offset: float
-    grads: dict = field(default_factory=dict)
 
     @classmethod
     def fresh(cls, rng: np.random.Generator, e: int = 6, f: int = 32) -> Net:
@@ -140,6 +138,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
             .orderBy(F.xxhash64("doc"), "doc", "y", F.xxhash64("text")).limit(max_rows).select("text", "y"))
 
 
+def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+            max_rows: int, max_bytes: int) -> Net:
+    sample = training_rows(docs, labels, id_col, text_col, label_col, max_rows, max_bytes).collect()
+    return fit([r.text for r in sample], [r.y for r in sample])
+
+
+def score_of(net: Net):
+    """A column function: the net's probability for each text."""
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        parts = [scores(net, text.iloc[at:at + 256].tolist()) for at in range(0, len(text), 256)]
+        return pd.Series(np.concatenate([np.zeros(0), *parts]))
+    return score
+
+
 def quality_net(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "quality", max_rows: int = 2000, max_bytes: int = 1 << 16) -> DataFrame:
     """``id_col, held_out, score, predicted``: one row per row of ``docs``.
@@ -151,20 +164,14 @@ def quality_net(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     scores.  Without labelled rows the net is untrained and scores are near
     1/2; no documents give no rows.  Other columns are ignored.
     """
-    sample = training_rows(docs, labels, id_col, text_col, label_col, max_rows, max_bytes).collect()
-    net = fit([r.text for r in sample], [r.y for r in sample])
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for at in range(0, b.num_rows, 256):
-                out.append(scores(net, b.column(1).slice(at, 256).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.concatenate([np.zeros(0), *out]))], names=["doc", "score"])
-
-    scored = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        score, f"doc {kind}, score double")
-    return scored.select(F.col("doc").alias(id_col),
-                         F.coalesce(F.crc32(F.col("doc").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
-                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    net = trained(docs, labels, id_col, text_col, label_col, max_rows, max_bytes)
+    return (docs.select(F.col(id_col), score_of(net)(F.col(text_col)).alias("score"))
+            .select(id_col, F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
+                    "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "quality", max_rows: int = 2000, max_bytes: int = 1 << 16) -> DataFrame:
+    """The rows of ``docs`` that the classifier predicts good, all columns kept; no shuffle."""
+    net = trained(docs, labels, id_col, text_col, label_col, max_rows, max_bytes)
+    return docs.where(score_of(net)(F.col(text_col)) >= 0.5)
