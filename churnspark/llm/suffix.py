@@ -270,7 +270,8 @@ def by_string_hash(cut: DataFrame, least: int, keep_first: bool) -> DataFrame:
 def repeated_runs(texts: DataFrame, packed: DataFrame, least: int, keep_first: bool, max_classes: int = 4096) -> DataFrame:
     """``key, runs``: for each text with repeats, the runs (first, last) of string starts.  ``texts``: ``key, place, text``."""
     found = written(find_blocks(texts.select("key", "text"), least), "suffix-blocks")
-    shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written, so that the join deals both sides anew and a hot anchor's blocks can be split
+    shared = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-anchors")
     kept = written(found.join(shared, "h", "left_semi"), "suffix-shared")
     places = texts.select("key", "place").distinct()
     # the class's first member, by its document's place
