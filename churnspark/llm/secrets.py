@@ -109,18 +109,20 @@ def markov_spans(text: Column, ratios: list[float], least_length: int, least_rat
         F.substring(text, x["start"] + 1, x["end"] - x["start"]), secret))
 
 
-def labelled_samples(docs: DataFrame, text_col: str, id_col: str, sample_rows: int) -> DataFrame:
+def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int) -> DataFrame:
     """Random strings and ordinary identifiers, labelled by how they came about.
 
-    Random: for each of at most ``sample_rows`` documents (by smallest row
-    hash), its digest written as hex and in base 64, and the values that the
+    Random: for each of at most ``sample_rows`` texts (by smallest hash, equal
+    texts once), its digest written as hex and in base 64, and the values that the
     base patterns found in it.  Ordinary: the runs of key-like characters left
     in it, as they stand and joined in pairs by ``_`` or ``-`` as identifiers are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    some = (docs.select(F.col(id_col).cast("string").alias("doc"), text.alias("text"))
-            .orderBy(F.xxhash64("doc", "text"), "doc").limit(sample_rows))
-    digest = F.sha2(F.concat_ws(":", F.coalesce("doc", F.lit("")), "text"), 256)
+    # the hashes are chosen first, so that no more texts than the sample's are sorted or moved
+    hashed = docs.select(text.alias("text")).withColumn("hash", F.xxhash64("text"))
+    last = hashed.select("hash").orderBy("hash").limit(sample_rows).agg(F.max("hash").alias("last")).first().last
+    some = hashed.where(F.col("hash") <= F.lit(last)).dropDuplicates(["hash"])
+    digest = F.sha2(F.col("text"), 256)
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
     plain = F.filter(F.regexp_extract_all(rest, F.lit(RUN), F.lit(0)), lambda w: F.length(w) >= 4)
     drawn = F.concat(F.array(digest, F.rtrim(F.base64(F.unhex(digest))), F.upper(F.substring(F.base64(F.unhex(F.sha2(digest, 256))), 1, 40))),
@@ -131,7 +133,7 @@ def labelled_samples(docs: DataFrame, text_col: str, id_col: str, sample_rows: i
             .unionByName(some.select(F.explode(pairs).alias("word")).withColumn("random", F.lit(False))))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 300,
+def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300,
                  least_length: int = 20, least_ratio: float = 0.7) -> DataFrame:
     """All columns of ``docs`` plus ``secret_spans``: array of (start, kind, end), sorted.
 
@@ -142,7 +144,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     column called ``secret_spans`` is replaced.  The models are fitted on
     ``labelled_samples`` of at most ``sample_rows`` documents.
     """
-    ratios = fit_markov(labelled_samples(docs, text_col, id_col, sample_rows))
+    ratios = fit_markov(labelled_samples(docs, text_col, sample_rows))
     text = F.coalesce(F.col(text_col), F.lit(""))
     added = markov_spans(text, ratios, least_length, least_ratio)
     return docs.withColumn("secret_spans", let(base_spans(text), lambda base: F.array_sort(F.concat(
@@ -156,12 +158,12 @@ def joined(spans: Column) -> Column:
         ":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", **how) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **how) -> DataFrame:
     """``docs`` with every secret's characters replaced by ``mark``; texts without secrets stay as they are.
 
     Spans that overlap are replaced together by one mark.
     """
-    found = scan_secrets(docs.withColumnRenamed("secret_spans", "_kept_spans"), id_col, text_col, **how)
+    found = scan_secrets(docs.withColumnRenamed("secret_spans", "_kept_spans"), text_col, **how)
     text, spans = F.col(text_col), F.col("secret_spans")
     done = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cut = F.aggregate(spans, done, lambda s, x: F.struct(
