@@ -39,16 +39,21 @@ def _bin(value: Column, cuts: list) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(F.lower(text), ".,!?;:\n\t\r", " " * 9), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(F.lower(text), ".,!?;:\n\t\r", " " * 9), " "), "")
 
 
 def with_cells(docs: DataFrame, text_col: str, markers: dict[str, list[str]]) -> DataFrame:
     """``docs`` plus ``_tokens`` (words) and ``_cell``: the text's bins, as one string."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counts = let(words(text), lambda w: F.struct(
-        F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("distinct"),
-        F.array(*[F.size(F.array_intersect(w, F.array(*map(F.lit, m)))) if m else F.lit(0)
-                  for m in markers.values()]).alias("marks")))
+    every = sorted({m for own in markers.values() for m in own})
+
+    def common(a: Column, own: list[str]) -> Column:
+        return F.array_intersect(a, F.array(*map(F.lit, own))) if own else F.array().cast("array<string>")
+
+    # one look at each distinct word; only markers that occur are then told apart by domain
+    counts = let(words(text), lambda w: let(F.array_distinct(w), lambda d: let(common(d, every), lambda m: F.struct(
+        F.size(w).alias("n"), F.size(d).alias("distinct"),
+        F.array(*[F.size(common(m, own)) for own in markers.values()]).alias("marks")))))
 
     def lost(chars: str) -> Column:
         return F.length(text) - F.length(F.translate(text, chars, ""))
