@@ -288,7 +288,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
                    "simhash-stay")
 
     def rows(which: DataFrame) -> DataFrame:
-        return docs.join(which, F.col(id_col).eqNullSafe(F.col("_near_dup_id")), "left_semi")
+        # the ids that stay grow with the corpus: merged, never broadcast, whatever the size
+        return docs.join(which.hint("merge"), F.col(id_col).eqNullSafe(F.col("_near_dup_id")), "left_semi")
 
     again = stay.where("_near_dup_rows > 1")
     if again.isEmpty():
