@@ -121,13 +121,14 @@ def _posteriors(cells: DataFrame, labelled: DataFrame, domains: list[str]) -> Da
 
 
 def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]], targets: dict[str, float],
-            most: float = 1.0, rounds: int = 60, pull: float = 1e-3, tolerance: float = 1e-6) -> Mix:
+            most: float = 1.0, rounds: int = 60, pull: float = 1e-3, tolerance: float = 1e-5) -> Mix:
     """Rates in [0, most] by accelerated projected gradient descent.
 
     ``cells``: ``_cell, tokens`` (all documents); ``labelled``: ``_cell,
     _domain``; ``targets``: the domains' weights.  The distance is that of the
     domains' expected tokens to their nearest multiple of the weights, so the
-    mix is as large as its bounds allow; the pull is towards ``most``.
+    mix is as large as its bounds allow; the pull is towards ``most``.  It
+    ends when a round moves no total by ``tolerance`` of all tokens.
     """
     domains = list(targets)
     posts = _posteriors(cells, labelled, domains)
@@ -157,16 +158,16 @@ def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]]
                 r.alias("rate"), (r + g[0] * (r - s["rate"])).alias("ahead")))
         return F.aggregate(table, one, go)
 
-    speed = 1.0
+    speed, before = 1.0, None
     for _ in range(rounds):
         now = totals(state()["ahead"])
         along = sum(s * g for s, g in zip(now, goal))
-        residual = [s - along * g for s, g in zip(now, goal)]
-        if max(map(abs, residual), default=0.0) < tolerance:
-            break
         faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
-        past.append([(speed - 1) / faster, *residual])
+        past.append([(speed - 1) / faster, *[s - along * g for s, g in zip(now, goal)]])
         speed = faster
+        if before and max(abs(a - b) for a, b in zip(now, before)) < tolerance:
+            break
+        before = now
     rates = written(t.select("_cell", "posterior", state()["rate"].alias("rate")), "mix-rates")
     return Mix(domains, markers, rates)
 
