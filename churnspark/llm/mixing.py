@@ -121,7 +121,7 @@ def _posteriors(cells: DataFrame, labelled: DataFrame, domains: list[str]) -> Da
 
 
 def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]], targets: dict[str, float],
-            most: float = 1.0, rounds: int = 60, pull: float = 1e-3, tolerance: float = 1e-5) -> Mix:
+            most: float = 1.0, rounds: int = 60, pull: float = 3e-4, tolerance: float = 1e-4) -> Mix:
     """Rates in [0, most] by accelerated projected gradient descent.
 
     ``cells``: ``_cell, tokens`` (all documents); ``labelled``: ``_cell,
