@@ -75,8 +75,12 @@ def ks_sf(d: float, n_eff: float) -> float:
     if n_eff <= 0:
         return float("nan")
     lam = (math.sqrt(n_eff) + 0.12 + 0.11 / math.sqrt(n_eff)) * d
-    if lam < 1e-3:
-        return 1.0
+    if lam < 0.05:
+        return 1.0  # 1 - p is under exp(-490)
+    if lam < 1.18:  # the theta form converges fast where the alternating series does not
+        y = math.exp(-math.pi ** 2 / (8.0 * lam * lam))
+        cdf = math.sqrt(2.0 * math.pi) / lam * sum(y ** ((2 * j - 1) ** 2) for j in range(1, 6))
+        return min(max(1.0 - cdf, 0.0), 1.0)
     s = 0.0
     for j in range(1, 101):
         t = 2.0 * (-1) ** (j - 1) * math.exp(-2.0 * j * j * lam * lam)

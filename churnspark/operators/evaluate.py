@@ -85,9 +85,11 @@ def score_points(df: DataFrame, keys=KEYS, score: str = "score", label: str = "l
 def roc_auc(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
     """A4: ROC-AUC with ties (rank-sum on distinct scores; null for one class).
 
-    The numerator sum(pos * (2*neg_below + neg)) is an exact integer."""
+    The numerator sum(pos * (2*neg_below + neg)) is an exact integer; it reaches
+    2 * P * N, so it is summed as a 38-digit decimal."""
     p = score_points(df, keys, **kw)
-    num = F.sum(F.col("pos") * (2 * (F.col("N") - F.col("fp")) + F.col("neg")))
+    below = (2 * (F.col("N") - F.col("fp")) + F.col("neg")).cast("decimal(19,0)")
+    num = F.sum(F.col("pos").cast("decimal(18,0)") * below)
     return p.groupBy(*keys).agg(
         F.try_divide(num.cast("double"), 2.0 * F.first("P").cast("double") * F.first("N").cast("double"))
         .alias("roc_auc"))
@@ -96,7 +98,7 @@ def roc_auc(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
 def average_precision(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
     """A5: sum over distinct thresholds of (recall step) x precision."""
     p = score_points(df, keys, **kw)
-    term = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
+    term = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
     return p.groupBy(*keys).agg(
         F.try_divide(F.sum(term), F.first("P").cast("double")).alias("average_precision"))
 

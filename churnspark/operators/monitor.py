@@ -244,10 +244,10 @@ def request_log(events: DataFrame, error_type: str = "error", hosts: int = 4) ->
 
 def latency_stats(log: DataFrame, window: str = "1 day", warn_ms: float = 200.0,
                   crit_ms: float = 500.0) -> DataFrame:
-    """Exact p50/p95 latency per tumbling window with alert levels."""
+    """Exact p50/p95 latency per tumbling window; critical by p95, warning by p50."""
     w = log.withColumn("window_start", F.window("ts", window).getField("start"))
     q = exact_quantiles(w, ["window_start"], "elapsed_ms", [0.5, 0.95], ["p50", "p95"])
-    lvl = F.when(F.col("p95") > crit_ms, "critical").when(F.col("p95") > warn_ms, "warning").otherwise("ok")
+    lvl = F.when(F.col("p95") > crit_ms, "critical").when(F.col("p50") > warn_ms, "warning").otherwise("ok")
     return q.withColumn("level", lvl)
 
 
@@ -304,16 +304,17 @@ def job_slo(runs: DataFrame, deadline_hour: int = 4, max_seconds: float = 7200.0
 
 
 # ---------------------------------------------------------------- R15-R18, R21
-# Alert rules (metric, operator, bound, severity, channel)
+# Alert rules (metric, operator, bound, values from there on are another rule's, severity, channel)
 ALERT_RULES = [
-    ("recall", "<", 0.70, "P1", "page"),
-    ("roc_auc", "<", 0.80, "P1", "page"),
-    ("psi", ">", 0.20, "P2", "chat"),
-    ("latency_p95_ms", ">", 500.0, "P2", "chat"),
-    ("error_rate_5xx", ">", 0.005, "P2", "chat"),
-    ("missing_rate", ">", 0.05, "P3", "email"),
-    ("positive_rate_shift", ">", 0.10, "P3", "email"),
-    ("availability", "<", 0.995, "P4", "ticket"),
+    ("consecutive_503", ">=", 2.0, None, "P1", "pager+chat"),
+    ("error_rate_5xx", ">", 0.005, None, "P1", "pager+chat"),
+    ("recall", "<", 0.70, None, "P2", "chat+email"),
+    ("roc_auc", "<", 0.80, None, "P2", "chat+email"),
+    ("psi", ">", 0.20, None, "P2", "chat+email"),
+    ("latency_p95_ms", ">", 500.0, None, "P2", "chat"),
+    ("positive_rate_shift", ">", 0.10, None, "P3", "email"),
+    ("psi", ">=", 0.10, 0.20, "P3", "weekly email"),
+    ("latency_p50_ms", ">", 200.0, None, "P4", "daily log"),
 ]
 
 
@@ -321,22 +322,25 @@ def alerts(metrics: DataFrame, rules=ALERT_RULES) -> DataFrame:
     """Join long-form metrics (metric, value, ...) to the rule table and
     keep the ones that fire."""
     spark = metrics.sparkSession
-    r = spark.createDataFrame(rules, "metric string, op string, bound double, severity string, channel string")
+    r = spark.createDataFrame(rules, "metric string, op string, bound double, upto double, severity string, channel string")
     j = metrics.join(F.broadcast(r), "metric")
     v, b = F.col("value"), F.col("bound")
     fire = (F.when(F.col("op") == "<", v < b).when(F.col("op") == ">", v > b)
             .when(F.col("op") == "<=", v <= b).otherwise(v >= b))
-    return j.where(fire)
+    return j.where(fire & (F.col("upto").isNull() | (v <= F.col("upto")))).drop("upto")
 
 
-def streak(df: DataFrame, series: str, period: str, bad: Column, n: int = 2) -> DataFrame:
-    """Flag periods that close a run of ``n`` bad periods in a row."""
+def streak(df: DataFrame, series: str, period: str, bad: Column, n: int = 2, unit: str = "DAY") -> DataFrame:
+    """Flag periods that close a run of ``n`` bad periods in a row.
+
+    In a row by the calendar: a missing period (``unit`` apart) ends the run."""
     w = Window.partitionBy(series).orderBy(period)
     b = F.coalesce(bad, F.lit(False)).cast("int")
     x = df.withColumn("_bad", b)
     run = x["_bad"] == 1
     for k in range(1, n):
-        run = run & (F.coalesce(F.lag("_bad", k).over(w), F.lit(0)) == 1)
+        back = F.timestamp_add(unit, F.lit(k), F.lag(period, k).over(w))
+        run = run & (F.coalesce(F.lag("_bad", k).over(w), F.lit(0)) == 1) & F.coalesce(back == F.col(period), F.lit(False))
     return x.withColumn("streak_alert", run).drop("_bad")
 
 

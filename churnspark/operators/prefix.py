@@ -3,9 +3,9 @@
 1. ``cumulative``: exact running sums in value order *without* an
    un-partitioned window (which would move every row into one task).  Rows are
    first collapsed to distinct values (map-side partial aggregation, so a hot
-   value costs one row), each distinct value gets a coarse equal-width bucket,
-   running sums are taken inside ``(keys, bucket)`` and the per-bucket totals
-   (at most ``buckets`` rows per key) supply the offsets.
+   value costs one row), each distinct value gets a bucket between quantiles of
+   the values, running sums are taken inside ``(keys, bucket)`` and the
+   per-bucket totals (at most ``buckets`` rows per key) supply the offsets.
 2. ``Grid`` + ``sweep``: the threshold sweep.  Each score is binned to the
    number of grid points at or below it, one ``groupBy(model, bin)`` pass
    builds a histogram, and suffix sums over at most a few hundred rows per
@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = 64
 
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
@@ -31,6 +31,16 @@ def _keys(keys: Sequence[str] | str | None) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` in which null equals null; the keys appear once.
+
+    No broadcast is asked for: the size of the right side follows the keys in
+    the data, and the planner measures it."""
+    r = right.withColumnsRenamed({k: f"_rk_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in keys]
+    return left.join(r, on).drop(*[f"_rk_{k}" for k in keys])
+
+
 def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Column],
                descending: bool = False, distinct: bool = True,
                buckets: int = DEFAULT_BUCKETS, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -43,9 +53,9 @@ def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Colum
     ``tiebreak`` columns make the order total (deterministic on retries).
     """
     keys = _keys(keys)
-    # keys are low-cardinality by contract (model, column, label, group), so
-    # the per-key range table and the per-(key, bucket) offsets are bounded by
-    # #keys x buckets rows and are broadcast.
+    # rows without an order value have no place in an order
+    v = F.col(order_col).cast("double")
+    df = df.where(F.col(order_col).isNotNull() & ~F.isnan(v))
     gk = keys if keys else []
     if not keys:
         df = df.withColumn("_k0", F.lit(0))
@@ -54,14 +64,12 @@ def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Colum
         d = df.groupBy(*gk, order_col).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
     else:
         d = df.withColumns(dict(measures))
-    v = F.col(order_col).cast("double")
-    rng = d.groupBy(*gk).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    width = F.col("_hi") - F.col("_lo")
-    b = F.when(width > 0, F.least(F.floor((v - F.col("_lo")) / width * buckets),
-                                  F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    # split points are quantiles of the (distinct) values, so an outlier does not fill one bucket
+    cuts = d.groupBy(*gk).agg(F.percentile_approx(v, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_cuts"))
+    b = F.size(F.filter("_cuts", lambda c: c < v))
     if descending:
         b = F.lit(buckets - 1) - b
-    d = d.join(F.broadcast(rng), gk).withColumn("_b", b).drop("_lo", "_hi")
+    d = null_safe_join(d, cuts, gk).withColumn("_b", b).drop("_cuts")
     o = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
     o += [F.col(t).asc() for t in tiebreak]
     w_in = (Window.partitionBy(*gk, "_b").orderBy(*o)
@@ -72,7 +80,7 @@ def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Colum
            .rowsBetween(Window.unboundedPreceding, -1))
     off = tot.select(*gk, "_b", *[F.coalesce(F.sum(f"_t_{n}").over(w_b), F.lit(0)).alias(f"_o_{n}")
                                   for n in measures])
-    out = run.join(F.broadcast(off), gk + ["_b"])
+    out = null_safe_join(run, off, gk + ["_b"])
     for n in measures:
         out = (out.withColumn(f"cum_{n}", F.col(f"_o_{n}") + F.col(f"_r_{n}"))
                   .withColumn(f"prev_{n}", F.col(f"cum_{n}") - F.col(n)))
@@ -97,7 +105,7 @@ def exact_quantiles(df: DataFrame, keys, value_col: str, probs: Sequence[float],
     c = cumulative(x, keys, value_col, {"_n": F.lit(1)}, buckets=buckets)
     tot = (c.groupBy(*keys) if keys else c.groupBy()).agg(F.sum("_n").alias("n"))
     if keys:
-        j = c.join(F.broadcast(tot), keys)
+        j = null_safe_join(c, tot, keys)
     else:
         j = c.withColumn("_j", F.lit(0)).join(F.broadcast(tot.withColumn("_j", F.lit(0))), "_j").drop("_j")
     v = F.col(value_col).cast("double")

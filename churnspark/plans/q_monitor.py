@@ -198,7 +198,7 @@ query("r10_request_log", Q.with_(EV, "SELECT * FROM lg"))(lambda spark, d: log(s
 
 query("r11_latency_stats", Q.with_(EV, Q.round_cols("""SELECT window_start, CAST(count(*) AS BIGINT) AS n,
   quantile_cont(elapsed_ms, 0.5) AS p50, quantile_cont(elapsed_ms, 0.95) AS p95,
-  CASE WHEN quantile_cont(elapsed_ms, 0.95) > 500 THEN 'critical' WHEN quantile_cont(elapsed_ms, 0.95) > 200 THEN 'warning' ELSE 'ok' END AS level
+  CASE WHEN quantile_cont(elapsed_ms, 0.95) > 500 THEN 'critical' WHEN quantile_cont(elapsed_ms, 0.5) > 200 THEN 'warning' ELSE 'ok' END AS level
 FROM (SELECT *, date_trunc('day', ts) AS window_start FROM lg) GROUP BY window_start""", ["p50", "p95"])))(
     lambda spark, d: rounded(R.latency_stats(log(spark, d)), ["p50", "p95"]))
 
@@ -243,25 +243,32 @@ rn AS (SELECT ts AS start_ts, value * 60 AS duration_s, event_type <> 'error' AS
 def _day_metrics(spark, d):
     er = R.error_rates(log(spark, d)).select("window_start", F.lit("error_rate_5xx").alias("metric"),
                                               F.col("rate_5xx").alias("value"))
-    lt = R.latency_stats(log(spark, d)).select("window_start", F.lit("latency_p95_ms").alias("metric"),
-                                                F.col("p95").alias("value"))
-    return er.unionByName(lt)
+    lt = R.latency_stats(log(spark, d))
+    out = er
+    for q in ("p50", "p95"):
+        out = out.unionByName(lt.select("window_start", F.lit(f"latency_{q}_ms").alias("metric"), F.col(q).alias("value")))
+    return out
 
 
+# the rules are stated here once more, literally, so that the oracle does not follow the implementation
 query("r15_alerts", Q.with_(EV + f""",
 mt AS (SELECT window_start, 'error_rate_5xx' AS metric, rate_5xx AS value FROM ({ERR})
-       UNION ALL SELECT date_trunc('day', ts), 'latency_p95_ms', quantile_cont(elapsed_ms, 0.95) FROM lg GROUP BY 1),
-ru AS (SELECT * FROM (VALUES """ + ", ".join(f"('{m}', '{o}', {b}::DOUBLE, '{s}', '{c}')" for m, o, b, s, c in R.ALERT_RULES)
-  + """) t(metric, op, bound, severity, channel))""",
-  Q.round_cols("""SELECT metric, window_start, value, op, bound, severity, channel FROM mt JOIN ru USING (metric)
-WHERE CASE WHEN op = '<' THEN value < bound WHEN op = '>' THEN value > bound WHEN op = '<=' THEN value <= bound ELSE value >= bound END""",
+       UNION ALL SELECT date_trunc('day', ts), 'latency_p50_ms', quantile_cont(elapsed_ms, 0.5) FROM lg GROUP BY 1
+       UNION ALL SELECT date_trunc('day', ts), 'latency_p95_ms', quantile_cont(elapsed_ms, 0.95) FROM lg GROUP BY 1)""",
+  Q.round_cols("""SELECT metric, window_start, value, '>' AS op,
+  CASE metric WHEN 'error_rate_5xx' THEN 0.005::DOUBLE WHEN 'latency_p95_ms' THEN 500.0::DOUBLE ELSE 200.0::DOUBLE END AS bound,
+  CASE metric WHEN 'error_rate_5xx' THEN 'P1' WHEN 'latency_p95_ms' THEN 'P2' ELSE 'P4' END AS severity,
+  CASE metric WHEN 'error_rate_5xx' THEN 'pager+chat' WHEN 'latency_p95_ms' THEN 'chat' ELSE 'daily log' END AS channel
+FROM mt WHERE (metric = 'error_rate_5xx' AND value > 0.005) OR (metric = 'latency_p95_ms' AND value > 500)
+   OR (metric = 'latency_p50_ms' AND value > 200)""",
                ["value"])))(
     lambda spark, d: rounded(R.alerts(_day_metrics(spark, d)), ["value"]))
 
-query("r16_streak", Q.with_(EV + """,
+@query("r16_streak", Q.with_(EV + """,
 hd AS (SELECT host, date_trunc('day', ts) AS day, count(*) FILTER (WHERE status >= 500) / count(*) AS rate_5xx FROM lg GROUP BY 1, 2),
 bd AS (SELECT *, CAST(coalesce(rate_5xx > 0.2, false) AS INTEGER) AS bad FROM hd)""",
-  Q.round_cols("""SELECT host, day, rate_5xx, bad = 1 AND coalesce(lag(bad, 1) OVER (PARTITION BY host ORDER BY day), 0) = 1 AS streak_alert
+  Q.round_cols("""SELECT host, day, rate_5xx, bad = 1 AND coalesce(lag(bad, 1) OVER (PARTITION BY host ORDER BY day), 0) = 1
+  AND lag(day, 1) OVER (PARTITION BY host ORDER BY day) = day - INTERVAL 1 DAY AS streak_alert
 FROM bd""", ["rate_5xx"])))
 def r16_streak(spark, d):
     lg_ = log(spark, d)
@@ -270,7 +277,7 @@ def r16_streak(spark, d):
     return rounded(R.streak(hd, "host", "day", F.col("rate_5xx") > 0.2, 2), ["rate_5xx"])
 
 
-query("r17_retrain_decision", Q.with_(EDGES + """,
+@query("r17_retrain_decision", Q.with_(EDGES + """,
 br AS (SELECT column, len(list_filter(edges, lambda x: x < value)) AS bin FROM lr JOIN ed USING (column)),
 bc AS (SELECT column, len(list_filter(edges, lambda x: x < value)) AS bin FROM lc JOIN ed USING (column)),
 ab AS (SELECT column, range AS bin FROM ed, range(0, 10)),
@@ -313,7 +320,7 @@ query("r18_enough", Q.with_(FAIR, Q.round_cols("SELECT gender, recall, fpr, n, n
     lambda spark, d: rounded(R.enough(R.fairness(_fair_input(spark, d), "gender")
                                       .select("gender", "recall", "fpr", "n")), ["recall", "fpr"]))
 
-query("r21_auc_decay", Q.with_(OUTCOME + f""",
+@query("r21_auc_decay", Q.with_(OUTCOME + f""",
 wk AS (SELECT 'events' AS model, time_bucket(INTERVAL 7 DAY, ts, {EPOCH}) AS period, outcome AS label, score
        FROM jo JOIN pr USING (pred_id, user_id, ts)),
 p0 AS (SELECT model, period, score, sum(label) AS pos, sum(1 - label) AS neg FROM wk GROUP BY 1, 2, 3),
@@ -333,7 +340,7 @@ def r21_auc_decay(spark, d):
 
 
 # ------------------------------------------------------------------ R20, R22, R23, R27, R29
-query("r20_campaign_monitor", Q.with_(EV + """,
+@query("r20_campaign_monitor", Q.with_(EV + """,
 cl AS (SELECT ts, CAST(event_type IN ('view', 'click') AS INTEGER) AS contacted, CAST(event_type = 'purchase' AS INTEGER) AS converted,
               CAST(event_type = 'click' AS INTEGER) AS fp, CAST(event_type = 'error' AS INTEGER) AS fn FROM events),
 g AS (SELECT date_trunc('week', ts) AS period, CAST(sum(contacted) AS BIGINT) AS contacted, CAST(sum(converted) AS BIGINT) AS converted,

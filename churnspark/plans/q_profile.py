@@ -10,13 +10,12 @@ from churnspark.operators import profile as D
 from churnspark.plans import sql as Q
 from churnspark.plans.registry import query, rounded
 from churnspark.plans.slice import cleaned_features
+from churnspark.schemas import CATEGORICAL_INPUTS
 from churnspark.session import cut_lineage
 from churnspark.sources.tables import snapshot
 
 NUM = ["tenure_months", "monthly_charges", "total_charges"]
-CAT = ["gender", "senior_citizen", "partner", "dependents", "phone_service", "internet_service",
-       "online_security", "tech_support", "contract", "paperless_billing", "payment_method",
-       "tenure_group"]
+CAT = [*CATEGORICAL_INPUTS, "tenure_group"]
 LABEL = "churn_value"
 
 LF = Q.FEAT + ",\nlf AS (" + Q.long_sql("feat", NUM, keep=[LABEL]) + ")"
@@ -325,9 +324,9 @@ query("d25_vif_without", Q.with_(GRAM, Q.round_cols("""SELECT 'tenure_months' AS
 UNION ALL SELECT 'monthly_charges', d * a / (a * d - b * b) FROM dt""", ["vif"])))(
     lambda spark, d: rounded(D.vif(feat(spark, d), NUM, drop=["total_charges"]), ["vif"]))
 
-_FS = NUM + ["contract", "internet_service", "num_services", "tenure_group"]
-_TYPES = {"tenure_months": "int", "monthly_charges": "double", "total_charges": "double",
-          "contract": "string", "internet_service": "string", "num_services": "int", "tenure_group": "string"}
+_FS = NUM + CATEGORICAL_INPUTS + ["num_services", "tenure_group"]
+_TYPES = {c: "string" for c in _FS} | {"tenure_months": "int", "monthly_charges": "double", "total_charges": "double",
+                                      "num_services": "int"}
 _SCOPE = {"total_charges": "tree models only"}
 
 

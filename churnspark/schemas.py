@@ -37,7 +37,7 @@ INPUT_FIELDS = [
 ]
 
 # id / geography, label text and post-event leakage columns
-ID_GEO_COLS = ["customerid", "count", "country", "state", "city", "zip_code",
+ID_GEO_COLS = ["customerid", "customer_id", "count", "country", "state", "city", "zip_code",
                "lat_long", "latitude", "longitude"]
 LEAKAGE_COLS = ["churn_label", "churn_score", "cltv", "churn_reason"]
 

@@ -176,15 +176,13 @@ def parse_records(df: DataFrame, json_col: str = "value") -> DataFrame:
     """JSON records (19- or 33-field form, any key spelling) -> columns.
 
     Keys are snake_cased and aliased; values stay text until validation."""
+    from churnspark.operators.clean import snake_key
     from churnspark.schemas import INPUT_FIELDS, KEY_ALIASES
     m = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
     # normalise keys inside the map: lower snake case + aliases, by expression
     keys = F.map_keys(m)
-    # same rule as clean.to_snake: trim, split CamelCase, spaces/hyphens -> _,
-    # collapse, lower, strip _
-    norm = F.transform(keys, lambda k: F.regexp_replace(F.lower(F.regexp_replace(F.regexp_replace(
-        F.regexp_replace(F.trim(k), r"([a-z0-9])([A-Z])", "$1_$2"), r"[\s\-]+", "_"), "_+", "_")),
-        "^_+|_+$", ""))
+    norm = F.transform(keys, snake_key)
+
     def alias_fn(a, b):
         return lambda k: F.when(k == a, F.lit(b)).otherwise(k)
     for a, b in KEY_ALIASES.items():
