@@ -20,9 +20,9 @@ o AS (
   FROM orders GROUP BY o_custkey),
 b AS (
   SELECT c.c_custkey AS k, c.c_acctbal, c.c_nationkey, o.n_orders, o.rev_cents,
-         least((year(d1)*12 + month(d1)) - (year(d0)*12 + month(d0)), 72) AS tenure_months,
+         CASE WHEN d1 IS NULL THEN 0 ELSE least((year(d1)*12 + month(d1)) - (year(d0)*12 + month(d0)), 72) END AS tenure_months,
          CASE WHEN year(d1)*12 + month(d1) < 2000*12 + 9 THEN 1 ELSE 0 END AS churn_value
-  FROM customer c JOIN o ON o.k = c.c_custkey),
+  FROM customer c LEFT JOIN o ON o.k = c.c_custkey),
 snap AS (
 SELECT k AS customerid, c_nationkey AS state,
   CASE WHEN k % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
@@ -33,7 +33,7 @@ SELECT k AS customerid, c_nationkey AS state,
   CASE WHEN (k % 10) < 3 + 5*churn_value THEN 'Month-to-month' WHEN k % 3 = 0 THEN 'One year' ELSE 'Two year' END AS contract,
   CASE WHEN k % 5 < 3 THEN 'Yes' ELSE 'No' END AS paperless_billing,
   CASE k % 4 WHEN 0 THEN 'Electronic check' WHEN 1 THEN 'Mailed check' WHEN 2 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END AS payment_method,
-  CAST(round(rev_cents / 250000.0 / n_orders, 2) AS DOUBLE) AS monthly_charges,
+  coalesce(CAST(round(rev_cents / 250000.0 / n_orders, 2) AS DOUBLE), 0.0) AS monthly_charges,
   CASE WHEN tenure_months = 0 THEN ' ' ELSE CAST(CAST(rev_cents // 100000 AS BIGINT) AS VARCHAR) END AS total_charges,
   CASE WHEN k % 10 = 9 THEN 'No' ELSE 'Yes' END AS phone_service,
   CASE WHEN k % 10 = 9 THEN 'No phone service' WHEN k % 3 = 1 THEN 'Yes' ELSE 'No' END AS multiple_lines,

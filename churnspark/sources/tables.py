@@ -55,8 +55,10 @@ def snapshot(spark: SparkSession, sf_dir: str, casing: bool = False) -> DataFram
               F.max("o_orderdate").alias("d1")))
     c = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("k"), "c_acctbal", "c_nationkey")
-    b = (c.join(o, "k")
-         .withColumn("tenure_months", F.least(_ym(F.col("d1")) - _ym(F.col("d0")), F.lit(72)))
+    # a customer without orders is new: tenure 0, no charges yet
+    b = (c.join(o, "k", "left")
+         .withColumn("tenure_months", F.when(F.col("d1").isNull(), 0).otherwise(
+             F.least(_ym(F.col("d1")) - _ym(F.col("d0")), F.lit(72))))
          .withColumn("churn_value", F.when(_ym(F.col("d1")) < 2000 * 12 + 9, 1).otherwise(0)))
     k = F.col("k")
     cv = F.col("churn_value")
@@ -77,7 +79,7 @@ def snapshot(spark: SparkSession, sf_dir: str, casing: bool = False) -> DataFram
                   (k % 4 == 2, "Bank transfer (automatic)")],
               "Credit card (automatic)").alias("payment_method"),
         # decimal arithmetic, as written in SQL, then double
-        F.expr("round(rev_cents / 250000.0 / n_orders, 2)").cast("double").alias("monthly_charges"),
+        F.coalesce(F.expr("round(rev_cents / 250000.0 / n_orders, 2)").cast("double"), F.lit(0.0)).alias("monthly_charges"),
         F.when(F.col("tenure_months") == 0, F.lit(" "))
          .otherwise(F.expr("rev_cents div 100000").cast("bigint").cast("string"))
          .alias("total_charges"),
