@@ -23,11 +23,11 @@ from churnspark.llm.common import table, written
 from churnspark.llm.mixing import mix
 from churnspark.llm.packing import pack
 from churnspark.llm.quality_net import keep_quality
-from churnspark.llm.queries import MIX_TARGETS, label_domains, tokenizer_file
+from churnspark.llm.queries import tokenizer_file
 from churnspark.llm.secrets import redact
 from churnspark.llm.simhash import keep_one
 
-# No SQL states a fitted network, an SimHash trie or a packing; tests hold run() against a brute-force version.
+# No SQL states a fitted network, a SimHash trie or a packing; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
@@ -46,8 +46,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean
 
 
+#: Shares of the mix's tokens.  Low quality is no domain here: the first stage has taken it out,
+#: and a target that the corpus cannot supply would hold back clean documents.
+MIX_TARGETS = {"plain": 0.95, "toxic": 0.05}
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs, label_domains(table(spark, sf_dir, "labels")), MIX_TARGETS)
+    return mix(docs, mix_domains(table(spark, sf_dir, "labels")), MIX_TARGETS)
+
+
+def mix_domains(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("plain").alias("domain"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

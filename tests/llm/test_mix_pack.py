@@ -133,7 +133,7 @@ def test_pipeline_against_brute_force(spark):
                 out += text[at:a] + "[SECRET]"
             at = max(at, z)
         assert r.text == out + text[at:] and r.n_chars == len(r.text)
-    rates = {r.doc_id: r.copies for r in mixing.mix_rates(stage["secrets"], Q.label_domains(labels), Q.MIX_TARGETS).collect()}
+    rates = {r.doc_id: r.copies for r in mixing.mix_rates(stage["secrets"], corpus_pipeline.mix_domains(labels), corpus_pipeline.MIX_TARGETS).collect()}
     assert ids(stage["mixing"]) == sorted(i for i, n in rates.items() for _ in range(n))
     check_pack(stage["packing"].collect(), [(r.doc_id, r.text) for r in stage["mixing"].collect()], 1024)
     key = lambda df: Counter(map(tuple, df.select("doc_id", "start", "length", "ids_crc32").collect()))
