@@ -37,5 +37,13 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches of this session hold ``rows`` rows at most: the default of 10,000 whole texts is much for one task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

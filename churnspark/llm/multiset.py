@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import shuffle_partitions
+from churnspark.llm.common import bounded_batches, shuffle_partitions
 
 WORDS, SIGNS = 16, 128
 _LEAST = -(1 << 63)
@@ -121,6 +121,7 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ignored.  ``id_col`` must be an integer.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = shuffle_partitions(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST))
     ids = docs.select(key.alias("k"))

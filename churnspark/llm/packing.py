@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import written
+from churnspark.llm.common import bounded_batches, written
 
 END = 0
 #: The pre-tokenizer's pattern of byte-level vocabularies (a fixed value).
@@ -54,6 +54,7 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, start, length, ids_crc32, doc_tokens``: each text's ids and ``END``, cut at multiples of ``capacity``."""
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc", "start", "length", "ids_crc32", "doc_tokens"]
 

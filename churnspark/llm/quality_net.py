@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnspark.llm.common import bounded_batches
+
 WIDTH, STRIDE, BLOCK = 16, 8, 1 << 15
 
 
@@ -140,6 +142,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
             max_rows: int, max_bytes: int) -> Net:
+    bounded_batches(docs.sparkSession)
     sample = training_rows(docs, labels, id_col, text_col, label_col, max_rows, max_bytes).collect()
     return fit([r.text for r in sample], [r.y for r in sample])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import written
+from churnspark.llm.common import bounded_batches, written
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_distinct", "n_upper", "n_capital_start", "n_stops", "n_bangs", "n_marked"]
@@ -74,6 +74,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(
         _count_batches, f"doc {kind}, " + ", ".join(f"{c} long" for c in COUNTS))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import shuffle_partitions, written
+from churnspark.llm.common import bounded_batches, shuffle_partitions, written
 
 SEED = 42
 _SLICE = 1 << 16
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc", "fp"])
 
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, f"doc {kind}, fp long")
 

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import shuffle_partitions, written
+from churnspark.llm.common import bounded_batches, shuffle_partitions, written
 
 GRAM = 48  # 32 + 16, made by doubling
 _SEGMENT = 1 << 19
@@ -321,6 +321,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null ids stand before all others.  An empty table gives no rows.  Other
     columns are ignored.  ``least`` is at least ``GRAM`` + 1.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("place"))
