@@ -280,11 +280,12 @@ def repeated_runs(texts: DataFrame, packed: DataFrame, least: int, keep_first: b
                       "suffix-classes")
     mixed = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     edge = classes.join(mixed, "h").select("rep.key", "rep.s", "rep.e", "h", "n", "rep.place", "kinds")
-    cut = written(cut_out(packed, edge.drop("kinds"), least), "suffix-cut")
-    huge = written(mixed.where(F.col("kinds") > max_classes).select("h"), "suffix-huge")
+    cut = cut_out(packed, edge.drop("kinds"), least)
+    huge = mixed.where(F.col("kinds") > max_classes).select("h")
     if huge.isEmpty():
         fine = by_suffix_arrays(cut, least, keep_first)
     else:
+        cut, huge = written(cut, "suffix-cut"), written(huge, "suffix-huge")
         fine = by_suffix_arrays(cut.join(huge, "h", "left_anti").select(*cut.columns), least, keep_first).unionByName(
             by_string_hash(cut.join(huge, "h", "left_semi").select(*cut.columns), least, keep_first))
     copies = kept.join(classes.where("n > 1"), ["h", "own"])
