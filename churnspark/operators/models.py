@@ -8,17 +8,21 @@ a fit (coefficients, importances, search traces) is a small table.
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -147,8 +151,9 @@ def convergence(trials: DataFrame, study: str = "study", trial: str = "trial", v
 
 # ---------------------------------------------------------------- M8
 class BusinessValueEvaluator(Evaluator):
-    """Custom evaluator for the search: best business value over the
-    threshold grid among thresholds with recall >= SLO; -1e8 when none."""
+    """Custom evaluator for the search: business value at the best threshold
+    of the grid (A13: recall >= SLO if any threshold reaches it, else the best
+    value overall).  ``value_and_recall`` also tells the recall there."""
 
     labelCol = Param(Params._dummy(), "labelCol", "label", TypeConverters.toString)
     probabilityCol = Param(Params._dummy(), "probabilityCol", "probability", TypeConverters.toString)
@@ -159,38 +164,70 @@ class BusinessValueEvaluator(Evaluator):
         self._set(labelCol=labelCol, probabilityCol=probabilityCol)
         self.slo, self.costs = slo, costs
 
-    def _evaluate(self, dataset: DataFrame) -> float:
+    def value_and_recall(self, dataset: DataFrame) -> tuple[float, float]:
         s = dataset.select(F.lit("m").alias("model"), prob1(self.getOrDefault(self.probabilityCol)).alias("score"),
                            F.col(self.getOrDefault(self.labelCol)).cast("int").alias("label"))
-        t = threshold_table(s, costs=self.costs).where(F.col("recall") >= self.slo)
-        r = t.agg(F.max("business_value")).first()[0]
-        return float(r) if r is not None else -1e8
+        rank = F.struct(F.col("recall") >= self.slo, F.col("business_value"), -F.col("threshold"))
+        r = threshold_table(s, costs=self.costs).agg(F.max_by(F.struct("business_value", "recall"), rank).alias("b")).first()
+        return (float(r.b.business_value), float(r.b.recall)) if r.b else (0.0, 0.0)
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return self.value_and_recall(dataset)[0]
 
     def isLargerBetter(self) -> bool:
         return True
 
 
+class LogRange(NamedTuple):
+    """A parameter drawn evenly on the log scale between two positive bounds."""
+    low: float
+    high: float
+
+
 def random_grid(space: dict, n: int, seed: int = 42) -> list[dict]:
-    """Seeded random trials from a dict of candidate lists."""
+    """``n`` different seeded trials from a dict of candidate lists and
+    ``LogRange``; all combinations when the lists have no more than ``n``."""
     rnd = random.Random(seed)
     keys = sorted(space)
-    return [{k: rnd.choice(space[k]) for k in keys} for _ in range(n)]
+    if not any(isinstance(space[k], LogRange) for k in keys):
+        full = [dict(zip(keys, c)) for c in itertools.product(*(list(space[k]) for k in keys))]
+        return rnd.sample(full, min(n, len(full)))
+    return [{k: math.exp(rnd.uniform(math.log(c.low), math.log(c.high))) if isinstance(c, LogRange) else rnd.choice(list(c))
+             for k, c in ((k, space[k]) for k in keys)} for _ in range(n)]
+
+
+def trial_value(values: Sequence[float], recalls: Sequence[float], slo: float = S.SLO_RECALL_MIN) -> float:
+    """A trial's score: the mean of its folds' values, or -1e8 when the *mean*
+    recall misses the SLO (one weak fold alone does not sink it)."""
+    return -1e8 if sum(recalls) / len(recalls) < slo else sum(values) / len(values)
 
 
 def search(train: DataFrame, estimator, param_space: dict, n_trials: int = 10, fold: str = "fold",
-           parallelism: int = 4, seed: int = 42, evaluator: Evaluator | None = None):
-    """M8: seeded random search, k-fold by an existing ``fold`` column, scored
-    by the business-value evaluator; folds x trials run as parallel jobs."""
-    trials = random_grid({k: list(v) for k, v in param_space.items()}, n_trials, seed)
-    params = {p.name: p for p in estimator.params}
-    grid = [{params[k]: v for k, v in t.items()} for t in trials]
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid,
-                        evaluator=evaluator or BusinessValueEvaluator(labelCol=estimator.getLabelCol()),
-                        foldCol=fold, parallelism=parallelism, seed=seed)
-    m = cv.fit(train)
+           parallelism: int = 4, seed: int = 42, evaluator: BusinessValueEvaluator | None = None):
+    """M8: seeded random search, k-fold by an existing ``fold`` column; folds x
+    trials run as parallel Spark jobs.  Returns the best trial's model, fitted
+    on all rows, and a table of the trials."""
     spark = train.sparkSession
-    rows = [(i, json.dumps({k: v for k, v in t.items()}), float(mv)) for i, (t, mv) in enumerate(zip(trials, m.avgMetrics))]
-    return m, spark.createDataFrame(rows, "trial int, params string, value double")
+    ev = evaluator or BusinessValueEvaluator(labelCol=estimator.getLabelCol())
+    trials = random_grid(param_space, n_trials, seed)
+    params = {p.name: p for p in estimator.params}
+    maps = [{params[k]: v for k, v in t.items()} for t in trials]
+    folds = sorted(r[0] for r in train.select(fold).distinct().collect())
+
+    @inheritable_thread_target(spark)
+    def one(job):
+        i, f = job
+        m = estimator.fit(train.where(F.col(fold) != f), maps[i])
+        return ev.value_and_recall(m.transform(train.where(F.col(fold) == f)))
+
+    with ThreadPool(parallelism) as pool:
+        res = pool.map(one, [(i, f) for i in range(len(trials)) for f in folds], chunksize=1)
+    k = len(folds)
+    got = [tuple(zip(*res[i * k:(i + 1) * k])) for i in range(len(trials))]
+    rows = [(i, json.dumps(t), trial_value(v, r, ev.slo), sum(r) / k) for i, (t, (v, r)) in enumerate(zip(trials, got))]
+    best = max(rows, key=lambda r: (r[2], -r[0]))[0]
+    table = spark.createDataFrame(rows, "trial int, params string, value double, mean_recall double")
+    return estimator.fit(train, maps[best]), table
 
 
 # ---------------------------------------------------------------- M10-M12

@@ -57,7 +57,7 @@ def b2_future_revenue(spark, d):
 _B3 = ["active_ticket", "annual_ticket", "fp_cost"]
 query("b3_fp_cost", Q.with_(Q.FEAT + ",\nt AS (SELECT avg(monthly_charges) FILTER (WHERE churn_value = 0) AS a FROM feat)",
                             Q.round_cols("SELECT a AS active_ticket, a * 12 AS annual_ticket, a * 12 * 0.1 AS fp_cost FROM t", _B3)))(
-    lambda spark, d: rounded(B.fp_cost(feat(spark, d)), _B3))
+    lambda spark, d: rounded(B.fp_cost(cleaned_features(spark, d)), _B3))
 
 _B4 = ["ratio_median", "ratio_mean", "ratio_p25", "ratio_p75", "fp_cost"]
 query("b4_cost_ratio", Q.with_(RES + """,

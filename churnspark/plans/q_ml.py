@@ -91,7 +91,7 @@ def e8_check_vectors(spark, d):
        "CAST(count(*) AS BIGINT) AS n FROM lv GROUP BY 1, 2"))
 def e4_yes_no_counts(spark, d):
     from churnspark.operators.prefix import long_form
-    enc = E.YesNoEncoder(inputCols=S.BINARY_PIPE).transform(feat(spark, d))
+    enc = E.YesNoEncoder(inputCols=S.BINARY_PIPE).transform(cleaned_features(spark, d))
     lf = long_form(enc, S.BINARY_PIPE)
     return lf.groupBy("column", F.col("value").alias("code")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
@@ -147,7 +147,7 @@ _V7 = ["pos_weight", "weight_pos", "weight_neg"]
 query("v7_class_weights", Q.with_(Q.FEAT + ",\ng AS (SELECT count(*) AS n, sum(churn_value) AS p FROM feat)", Q.round_cols(
     """SELECT CAST(n - p AS BIGINT) AS n_neg, CAST(p AS BIGINT) AS n_pos, (n - p) / greatest(p, 1) AS pos_weight,
   n / (2.0 * p) AS weight_pos, n / (2.0 * (n - p)) AS weight_neg FROM g""", _V7)))(
-    lambda spark, d: rounded(V.class_weights(feat(spark, d), LABEL), _V7))
+    lambda spark, d: rounded(V.class_weights(cleaned_features(spark, d), LABEL), _V7))
 
 query("v9_sample_n")(lambda spark, d: V.sample_n(feat(spark, d), 500, "customerid", 42).select("customerid", LABEL))
 

@@ -23,8 +23,8 @@ LFC = Q.FEAT + ",\nlc AS (" + Q.long_sql("feat", CAT, keep=[LABEL], cast="VARCHA
 
 
 def feat(spark, d):
-    # profiles read the cleaned table many times: materialise it once in the
-    # shared checkpoint folder (reliable; cuts the plan)
+    # for profiles that read the cleaned table many times: written once to the
+    # shared checkpoint folder; single-pass queries take cleaned_features itself
     return cut_lineage(cleaned_features(spark, d))
 
 
@@ -65,7 +65,7 @@ t AS (SELECT sum(n) AS tot, min(n) AS mn, max(n) AS mx FROM g)""",
   "SELECT label, n, n * 100.0 / tot AS pct, CAST(mn AS DOUBLE) / mx AS minority_ratio, "
   "CAST(mn AS DOUBLE) / mx < 0.5 AS imbalanced FROM g, t"))
 def d2_target_balance(spark, d):
-    return D.target_balance(feat(spark, d))
+    return D.target_balance(cleaned_features(spark, d))
 
 
 # ------------------------------------------------------------------ D3-D7, D12
@@ -266,17 +266,17 @@ ER = """CAST(count(*) FILTER (WHERE churn_value <> 1) AS BIGINT) AS n_0,
 
 query("d17_event_rate", Q.with_(Q.FEAT, Q.round_cols(
     f"SELECT contract, {ER} FROM feat GROUP BY contract", ["event_rate"])))(
-    lambda spark, d: rounded(D.event_rate(feat(spark, d), "contract"), ["event_rate"]))
+    lambda spark, d: rounded(D.event_rate(cleaned_features(spark, d), "contract"), ["event_rate"]))
 
 query("d17_event_rate_rollup", Q.with_(Q.FEAT, Q.round_cols(
     f"SELECT contract, internet_service, {ER} FROM feat GROUP BY ROLLUP (contract, internet_service)",
     ["event_rate"])))(
-    lambda spark, d: rounded(D.event_rate(feat(spark, d), ["contract", "internet_service"], mode="rollup"),
+    lambda spark, d: rounded(D.event_rate(cleaned_features(spark, d), ["contract", "internet_service"], mode="rollup"),
                              ["event_rate"]))
 
 query("d17_event_rate_cube", Q.with_(Q.FEAT, Q.round_cols(
     f"SELECT contract, gender, {ER} FROM feat GROUP BY CUBE (contract, gender)", ["event_rate"])))(
-    lambda spark, d: rounded(D.event_rate(feat(spark, d), ["contract", "gender"], mode="cube"), ["event_rate"]))
+    lambda spark, d: rounded(D.event_rate(cleaned_features(spark, d), ["contract", "gender"], mode="cube"), ["event_rate"]))
 
 _BR = ["bin_left", "bin_right", "center", "event_rate"]
 query("d18_binned_rate", Q.with_(LF + f""",
@@ -352,5 +352,5 @@ query("d24_segment_rate", Q.with_(Q.FEAT, Q.round_cols("""SELECT
 FROM (SELECT *, coalesce(contract = 'Month-to-month' AND internet_service = 'Fiber optic' AND tenure_months <= 12, false) AS seg FROM feat)""",
     ["share", "event_rate", "base_rate"])))(
     lambda spark, d: rounded(D.segment_rate(
-        feat(spark, d), (F.col("contract") == "Month-to-month") & (F.col("internet_service") == "Fiber optic")
+        cleaned_features(spark, d), (F.col("contract") == "Month-to-month") & (F.col("internet_service") == "Fiber optic")
         & (F.col("tenure_months") <= 12)), ["share", "event_rate", "base_rate"]))

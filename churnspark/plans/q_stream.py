@@ -9,9 +9,8 @@ import os
 from pyspark.sql import functions as F
 
 from churnspark import schemas as S
-from churnspark.operators import monitor as R
 from churnspark.plans import sql as Q
-from churnspark.plans.q_monitor import ERR, EV
+from churnspark.plans.q_monitor import ERR, EV, H, OUTCOME, outcomes, preds
 from churnspark.plans.registry import query, rounded
 from churnspark.streaming import jobs as ST
 
@@ -62,24 +61,30 @@ def stream_latency(spark, d):
     return s
 
 
-@query("stream_failure_runs")
+@query("stream_failure_runs", Q.with_(EV + """,
+fr_st AS (SELECT host, ts, count(*) FILTER (WHERE status <> 503) AS oks, count(*) FILTER (WHERE status = 503) AS fails
+          FROM lg GROUP BY host, ts),
+fr_is AS (SELECT *, sum(oks) OVER (PARTITION BY host ORDER BY ts) AS island FROM fr_st)""",
+  """SELECT host, min(ts) AS run_start, max(ts) AS run_end, CAST(sum(fails) AS BIGINT) AS n_failures
+FROM fr_is WHERE oks = 0 GROUP BY host, island HAVING sum(fails) >= 3"""))
 def stream_failure_runs(spark, d):
-    """R14 on a stream: stateful per-host counter of consecutive 503s."""
-    return ST.run_available(ST.failure_runs_stream(ST.request_log_stream(ST.events_stream(spark, d)), 3),
-                            "failure_runs")
+    """R14 on a stream: stateful per-host runs of 503s.  The table is not in
+    time order from file to file, so the watermark waits for all of it."""
+    ev = ST.events_stream(spark, d, max_files=10_000)
+    runs = ST.latest_runs(ST.run_available(ST.failure_runs_stream(ST.request_log_stream(ev), 3, watermark="0 seconds"),
+                                           "failure_runs", mode="update"))
+    return _ntz(runs, "run_start", "run_end")
 
 
-@query("stream_outcome_join")
+@query("stream_outcome_join", Q.with_(OUTCOME, "SELECT pred_id, user_id, ts, outcome, next_event_ts FROM jo"))
 def stream_outcome_join(spark, d):
-    """R8 on streams: left outer stream-stream interval join (7 days),
-    collapsed to one row per prediction."""
+    """R8 on streams: stream-stream interval join (7 days), closed at the
+    latest outcome to one row per prediction."""
     ev = ST.events_stream(spark, d)
-    p = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("pred_id"), "user_id",
-                                                        F.col("ts").cast("timestamp").alias("ts"))
-    o = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id",
-                                                            F.col("ts").cast("timestamp").alias("ts"))
-    pairs = ST.run_available(ST.outcome_join_stream(p, o, 7), "outcome_join")
-    return ST.outcome_from_pairs(pairs)
+    p = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("pred_id"), "user_id", "ts")
+    o = ev.where(F.col("event_type") == "purchase").select("user_id", "ts")
+    hits = ST.run_available(ST.outcome_join_stream(p, o, H), "outcome_join")
+    return ST.outcome_from_hits(preds(spark, d), _ntz(hits, "o_ts"), outcomes(spark, d), H)
 
 
 @query("i9_stream_score")
@@ -121,6 +126,3 @@ def i9_stream_score(spark, d):
     sc = spark.read.parquet(os.path.join(base, "out", "scored")).select(F.lit("scored").alias("sink"))
     rj = spark.read.parquet(os.path.join(base, "out", "rejected")).select(F.lit("rejected").alias("sink"))
     return sc.unionByName(rj).groupBy("sink").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-
-
-__all__ = ["R"]

@@ -12,6 +12,7 @@ is how the batch-equality tests and the registered queries use them.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -19,6 +20,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from churnspark.operators import clean as C
@@ -27,10 +29,11 @@ from churnspark.session import checkpoint_dir
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The ``events`` table as a file stream (explicit schema, no inference)."""
+    """The ``events`` table as a file stream; the schema is the batch table's."""
     path = os.path.join(sf_dir, "events.parquet")
     schema = spark.read.parquet(path).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path + "*")
+    # a file source wants a folder or a pattern; this pattern fits the one name only
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path[:-1] + "[t]")
     # watermarks need TIMESTAMP (with time zone semantics); the file stores NTZ
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -39,33 +42,69 @@ def _work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that the watermark dropped, summed over every batch and every
+    stateful operator of the query named ``query`` (``recentProgress`` keeps
+    the last batches only)."""
+
+    def __init__(self, query: str):
+        self.query, self.rows, self._ids, self._done = query, 0, set(), threading.Event()
+
+    def onQueryStarted(self, event):
+        if event.name == self.query:
+            self._ids.add(event.runId)
+
+    def onQueryProgress(self, event):
+        if event.progress.name == self.query:
+            self.rows += sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if event.runId in self._ids:
+            self._done.set()
+
+    def total(self, seconds: float = 60.0) -> int:
+        """The sum once the query's last event has arrived."""
+        if not self._done.wait(seconds):
+            raise TimeoutError(f"no end event of {self.query}")
+        return self.rows
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append",
                   sink: Callable | None = None) -> DataFrame:
     """Run a streaming frame over all available input (availableNow) into a
     parquet table in the shared checkpoint folder; return that table.
 
     ``sink`` (a foreachBatch function taking (batch_df, batch_id, out_dir))
-    replaces the default parquet sink."""
+    replaces the default parquet sink.  Update mode writes each batch's rows
+    to its own folder, so a replayed batch is harmless."""
     spark = df.sparkSession
     base = _work_dir(spark, name)
     out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    w = df.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
-    if mode == "complete" or sink is not None:
-        fn = sink or (lambda b, i, o=out: b.write.mode("overwrite").parquet(o))
-        q = w.outputMode(mode).foreachBatch(lambda b, i: fn(b, i, out) if sink else fn(b, i)).start()
-    else:
-        q = w.outputMode(mode).format("parquet").option("path", out).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    progress = q.recentProgress
-    dropped = sum(p.get("stateOperators", [{}])[0].get("numRowsDroppedByWatermark", 0)
-                  for p in progress if p.get("stateOperators"))
+    run_name = os.path.basename(base)
+    w = df.writeStream.queryName(run_name).option("checkpointLocation", ck).trigger(availableNow=True)
+    late = LateRows(run_name)
+    spark.streams.addListener(late)
+    try:
+        if mode == "complete" or sink is not None:
+            fn = sink or (lambda b, i, o=out: b.write.mode("overwrite").parquet(o))
+            q = w.outputMode(mode).foreachBatch(lambda b, i: fn(b, i, out) if sink else fn(b, i)).start()
+        elif mode == "update":
+            q = w.outputMode(mode).foreachBatch(
+                lambda b, i: b.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={i}"))).start()
+        else:
+            q = w.outputMode(mode).format("parquet").option("path", out).start()
+        q.awaitTermination()
+        dropped = late.total()
+    finally:
+        spark.streams.removeListener(late)
     try:       # the output folder may be on any Hadoop filesystem (shared folder)
         res = spark.read.parquet(out)
     except AnalysisException:           # nothing was written (no input rows)
         res = spark.createDataFrame([], df.schema)
-    res._late_rows = dropped      # R24: rows dropped as late, from progress events
+    res._late_rows = dropped      # R24
     return res
 
 
@@ -138,56 +177,87 @@ def sessions_stream(events: DataFrame, gap: str = "30 minutes", watermark: str =
 # ---------------------------------------------------------------- R8
 def outcome_join_stream(preds: DataFrame, outcomes: DataFrame, horizon_days: int = 7,
                         watermark: str = "8 days", key: str = "user_id") -> DataFrame:
-    """R8 on streams: left outer stream-stream join within
-    (p.ts, p.ts + horizon]; watermarks on both sides bound the state, and a
-    prediction without an outcome is emitted (outcome 0) once the watermark
-    passes its horizon."""
+    """R8 on streams: inner stream-stream join within (p.ts, p.ts + horizon];
+    watermarks on both sides bound the state.  A hit is emitted as soon as
+    both rows are there; ``outcome_from_hits`` closes the horizon."""
     p = preds.select(F.col("pred_id"), F.col(key).alias("p_key"), F.col("ts").alias("p_ts")) \
              .withWatermark("p_ts", watermark)
-    o = outcomes.select(F.col("event_id").alias("o_id"), F.col(key).alias("o_key"), F.col("ts").alias("o_ts")) \
+    o = outcomes.select(F.col(key).alias("o_key"), F.col("ts").alias("o_ts")) \
                 .withWatermark("o_ts", watermark)
     cond = ((F.col("p_key") == F.col("o_key")) & (F.col("o_ts") > F.col("p_ts")) &
             (F.col("o_ts") <= F.col("p_ts") + F.expr(f"INTERVAL {int(horizon_days)} DAYS")))
-    j = p.join(o, cond, "leftOuter")
-    return j.select("pred_id", F.col("p_key").alias(key), F.col("p_ts").alias("ts"), "o_id", "o_ts")
+    return p.join(o, cond).select("pred_id", "o_ts")
 
 
-def outcome_from_pairs(pairs: DataFrame, key: str = "user_id") -> DataFrame:
-    """Collapse the joined pairs to one row per prediction (batch step on the
-    written stream output)."""
-    return pairs.groupBy("pred_id", key, "ts").agg(
-        F.max(F.when(F.col("o_ts").isNotNull(), 1).otherwise(0)).alias("outcome"),
-        F.min("o_ts").alias("next_event_ts"))
+def outcome_from_hits(preds: DataFrame, hits: DataFrame, outcomes: DataFrame, horizon_days: int = 7,
+                      key: str = "user_id") -> DataFrame:
+    """One row per prediction whose horizon has elapsed by the latest outcome
+    read so far.  A prediction still open is left out, hit or not, so that hits
+    (known early) do not bias the outcome rate; one without a hit is a miss."""
+    first = hits.groupBy("pred_id").agg(F.min("o_ts").alias("next_event_ts"))
+    end = F.col("ts") + F.expr(f"INTERVAL {int(horizon_days)} DAYS")
+    as_of = outcomes.agg(F.max("ts").alias("as_of"))             # one row
+    return (preds.select("pred_id", key, "ts").crossJoin(F.broadcast(as_of)).where(end <= F.col("as_of"))
+                 .join(first, "pred_id", "left")
+                 .select("pred_id", key, "ts", F.when(F.col("next_event_ts").isNotNull(), 1).otherwise(0).alias("outcome"),
+                         "next_event_ts"))
 
 
 # ---------------------------------------------------------------- R14
 RUN_SCHEMA = "host string, run_start timestamp, run_end timestamp, n_failures long"
-RUN_STATE = "current_len long, run_start timestamp, run_end timestamp"
+#: The run in progress, and the steps (ts, failures, successes) that the watermark has not passed.
+RUN_STATE = ("current_len long, run_start timestamp, run_end timestamp, "
+             "step_ts array<timestamp>, step_fail array<long>, step_ok array<long>")
 
 
 def failure_runs_stream(log: DataFrame, n: int = 3, status: int = 503, watermark: str = "1 hour") -> DataFrame:
-    """R14 on a stream: a per-host counter of consecutive failures kept in
-    state (``applyInPandasWithState``); a run of >= n is emitted when a
-    success ends it.  State is one small row per host."""
+    """R14 on a stream (``applyInPandasWithState``, update mode): requests of a
+    host that share a timestamp are one step, and a step with a success ends
+    the run, as in the batch form.
+
+    Steps wait in the state until the watermark has passed them, so neither
+    Arrow batches nor triggers need to be in order; a timeout takes them up when
+    no further row of the host comes.  A run is emitted once it has ``n``
+    failures and again as it grows; ``latest_runs`` keeps the last version, so
+    a run that is still open is reported too.  The state is one run and the
+    steps of one watermark delay."""
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        cur, start, end = (state.get if state.exists else (0, None, None))
-        out = []
-        for pdf in batches:
-            for ts, st in sorted(zip(pdf["ts"], pdf["status"])):
-                if st == status:
-                    start = ts if cur == 0 else start
-                    end = ts
-                    cur += 1
-                else:
-                    if cur >= n:
-                        out.append((key[0], start, end, cur))
-                    cur, start, end = 0, None, None
-        state.update((cur, start, end))
-        yield pd.DataFrame(out, columns=["host", "run_start", "run_end", "n_failures"])
+        cur, start, end, *old = state.get if state.exists else (0, None, None, [], [], [])
+        parts = [pd.DataFrame({"ts": pd.to_datetime(pd.Series(list(old[0]), dtype="datetime64[ns]")),
+                               "fail": list(old[1]), "ok": list(old[2])})]
+        if not state.hasTimedOut:
+            for pdf in batches:
+                bad = pdf["status"] == status
+                parts.append(pd.DataFrame({"ts": pdf["ts"], "fail": bad.astype("int64"), "ok": (~bad).astype("int64")}))
+        steps = pd.concat([x for x in parts if len(x)] or parts).groupby("ts", sort=True)[["fail", "ok"]].sum()
+        steps = steps.astype("int64").reset_index()
+        passed = state.getCurrentWatermarkMs()
+        ms = steps["ts"].astype("datetime64[ns]").astype("int64") // 1_000_000
+        final, wait = steps[ms <= passed], steps[ms > passed]
+        out: dict = {}
+        for ts, fail, ok in final.itertuples(index=False):
+            if ok:
+                cur, start, end = 0, None, None
+            else:
+                start, end, cur = (ts if cur == 0 else start), ts, cur + fail
+                if cur >= n:
+                    out[start] = (key[0], start, end, cur)
+        state.update((cur, start, end, [t.to_pydatetime() for t in wait["ts"]],
+                      wait["fail"].tolist(), wait["ok"].tolist()))
+        if len(wait):
+            # fires once the watermark is beyond this time
+            state.setTimeoutTimestamp(int(max(ms[wait.index].min() - 1, passed + 1)))
+        yield pd.DataFrame(list(out.values()), columns=["host", "run_start", "run_end", "n_failures"])
 
     x = log.select("host", F.col("ts").cast("timestamp").alias("ts"), "status").withWatermark("ts", watermark)
-    return x.groupBy("host").applyInPandasWithState(fn, RUN_SCHEMA, RUN_STATE, "append",
-                                                    GroupStateTimeout.NoTimeout)
+    return x.groupBy("host").applyInPandasWithState(fn, RUN_SCHEMA, RUN_STATE, "update",
+                                                    GroupStateTimeout.EventTimeTimeout)
+
+
+def latest_runs(versions: DataFrame) -> DataFrame:
+    """The longest version of each run that ``failure_runs_stream`` emitted."""
+    return versions.groupBy("host", "run_start").agg(F.max("run_end").alias("run_end"),
+                                                     F.max("n_failures").alias("n_failures"))
 
 
 def request_log_stream(events: DataFrame) -> DataFrame:
