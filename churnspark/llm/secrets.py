@@ -109,19 +109,21 @@ def markov_spans(text: Column, ratios: list[float], least_length: int, least_rat
         F.substring(text, x["start"] + 1, x["end"] - x["start"]), secret))
 
 
-def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int) -> DataFrame:
+def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int, share: float = 1e-3) -> DataFrame:
     """Random strings and ordinary identifiers, labelled by how they came about.
 
-    Random: for each of at most ``sample_rows`` texts (by smallest hash, equal
-    texts once), its digest written as hex and in base 64, and the values that the
-    base patterns found in it.  Ordinary: the runs of key-like characters left
+    Random: for each of the ``sample_rows`` different texts of smallest hash, or
+    ``share`` of all different texts where that is more, its digest written as hex
+    and in base 64, and the values that the base patterns found in it.  Ordinary: the runs of key-like characters left
     in it, as they stand and joined in pairs by ``_`` or ``-`` as identifiers are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     # the hashes are chosen first, so that no more texts than the sample's are sorted or moved
     hashed = docs.select(text.alias("text")).withColumn("hash", F.xxhash64("text"))
-    last = hashed.select("hash").orderBy("hash").limit(sample_rows).agg(F.max("hash").alias("last")).first().last
-    some = hashed.where(F.col("hash") <= F.lit(last)).dropDuplicates(["hash"])
+    last = hashed.select("hash").distinct().orderBy("hash").limit(sample_rows).agg(F.max("hash").alias("last")).first().last
+    # hashes are spread evenly, so the lowest share of their range holds that share of the different texts
+    low = -(1 << 63) + int(share * (1 << 64)) - 1
+    some = hashed.where(F.col("hash") <= F.greatest(F.lit(last).cast("long"), F.lit(low))).dropDuplicates(["hash"])
     digest = F.sha2(F.col("text"), 256)
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
     plain = F.filter(F.regexp_extract_all(rest, F.lit(RUN), F.lit(0)), lambda w: F.length(w) >= 4)
@@ -142,7 +144,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300
     them.  A null or empty text has no span; texts are scanned whole; repeated
     rows and ties get equal spans; an empty table gives no rows.  An input
     column called ``secret_spans`` is replaced.  The models are fitted on
-    ``labelled_samples`` of at most ``sample_rows`` documents.
+    ``labelled_samples`` of ``sample_rows`` different texts or more.
     """
     ratios = fit_markov(labelled_samples(docs, text_col, sample_rows))
     text = F.coalesce(F.col(text_col), F.lit(""))

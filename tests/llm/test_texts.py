@@ -288,3 +288,15 @@ def test_secrets_against_re(spark, empty, sample):
     text = {r.doc_id: r.text for r in clean.collect()}
     assert text[500 + 3] == 'é [SECRET]" [SECRET]' and text[600] == "end [SECRET] x" and text[1] == dict(rows)[1]
     assert text[300] is None
+
+
+def test_secret_sample_counts_different_texts(spark):
+    docs = spark.range(400 * 60).select((F.col("id") % 60).cast("string").alias("text"))
+    digests = {hashlib.sha256(str(i).encode()).hexdigest() for i in range(60)}
+
+    def drawn(**how):
+        words = [r.word for r in secrets.labelled_samples(docs, "text", **how).where("random").collect()]
+        return [w for w in words if w in digests]
+    assert Counter(drawn(sample_rows=300)) == Counter(digests)
+    assert len(set(drawn(sample_rows=7))) == len(drawn(sample_rows=7)) == 7
+    assert 7 < len(drawn(sample_rows=7, share=0.5)) < 60 and len(drawn(sample_rows=7, share=1.0)) == 60
