@@ -135,13 +135,26 @@ def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int, share: fl
             .unionByName(some.select(F.explode(pairs).alias("word")).withColumn("random", F.lit(False))))
 
 
+def _uncovered(run: Column, base: Column) -> Column:
+    """The pieces of the span ``run`` that no span of ``base`` (sorted by start) covers, in order."""
+    def piece(start: Column, end: Column) -> Column:
+        return F.when(start < end, F.array(F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end")))
+                      ).otherwise(F.array().cast(SPAN))
+
+    begin = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+    return F.aggregate(base, begin, lambda s, y: F.struct(
+        F.greatest(s["at"], F.least(y["end"], run["end"])).alias("at"),
+        F.concat(s["out"], piece(s["at"], F.least(y["start"], run["end"]))).alias("out")),
+        lambda s: F.concat(s["out"], piece(s["at"], run["end"])))
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300,
                  least_length: int = 20, least_ratio: float = 0.7) -> DataFrame:
     """All columns of ``docs`` plus ``secret_spans``: array of (start, kind, end), sorted.
 
     Places are code points, ends exclusive; ``kind`` is a number of ``KINDS``.
-    Base spans always stay; a Markov span is added where it overlaps none of
-    them.  A null or empty text has no span; texts are scanned whole; repeated
+    Base spans always stay; of a Markov run the pieces that none of them covers
+    are added, so a Markov span overlaps no base span.  A null or empty text has no span; texts are scanned whole; repeated
     rows and ties get equal spans; an empty table gives no rows.  An input
     column called ``secret_spans`` is replaced.  The models are fitted on
     ``labelled_samples`` of ``sample_rows`` different texts or more.
@@ -150,7 +163,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300
     text = F.coalesce(F.col(text_col), F.lit(""))
     added = markov_spans(text, ratios, least_length, least_ratio)
     return docs.withColumn("secret_spans", let(base_spans(text), lambda base: F.array_sort(F.concat(
-        base, F.filter(added, lambda x: ~F.exists(base, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))))))
+        base, F.flatten(F.transform(added, lambda x: _uncovered(x, base)))))))
 
 
 def joined(spans: Column) -> Column:

@@ -300,3 +300,16 @@ def test_secret_sample_counts_different_texts(spark):
     assert Counter(drawn(sample_rows=300)) == Counter(digests)
     assert len(set(drawn(sample_rows=7))) == len(drawn(sample_rows=7)) == 7
     assert 7 < len(drawn(sample_rows=7, share=0.5)) < 60 and len(drawn(sample_rows=7, share=1.0)) == 60
+
+
+def test_secret_beyond_a_base_span_is_found(spark, sample):
+    key = "/" + base64.b64encode(hashlib.sha256(b"k").digest()).decode().rstrip("=")
+    access = "AKIA" + "Q7" * 8
+    mixed = "Zk4Q" + hashlib.sha256(b"h").hexdigest()[:24] + "Xw9RtB"
+    rows = [(1, f"a {access}{key} b"), (2, f"c {mixed} d"), (3, f"e {access} f")]
+    docs = spark.createDataFrame(rows + [(100 + r["doc_id"], r["text"]) for r in sample], "doc_id long, text string")
+    found = {r.doc_id: [(s.start, secrets.KINDS[s.kind], s.end) for s in r.secret_spans] for r in secrets.scan_secrets(docs).collect()}
+    assert found[1] == [(2, "access", 22), (22, "markov", 22 + len(key))] and found[3] == [(2, "access", 22)]
+    assert found[2] == [(2, "markov", 6), (6, "hex", 30), (30, "markov", 36)]
+    text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert text[1] == "a [SECRET][SECRET] b" and text[2] == "c [SECRET][SECRET][SECRET] d"
