@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import bounded_batches, shuffle_partitions, written
@@ -53,16 +53,24 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``doc, fp``: fp is the unsigned fingerprint's bits in a long."""
+def text_key(text_col: str) -> Column:
+    """128 bits that tell texts of equal id apart; null and empty differ."""
+    return F.coalesce(F.md5(F.col(text_col)), F.lit(""))
+
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, keyed: bool = False) -> DataFrame:
+    """``doc, fp`` and, if ``keyed``, ``key``: fp is the unsigned fingerprint's bits in a long, key the text's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), *b.columns[2:]],
+                                             names=["doc", "fp", "key"][:b.num_columns])
 
     bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, f"doc {kind}, fp long")
+    key = [text_key(text_col).alias("key")] if keyed else []
+    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), *key).mapInArrow(
+        run, f"doc {kind}, fp long" + ", key string" * keyed)
 
 
 def trie_pairs(keys: np.ndarray, roots: np.ndarray, budget: int, bits: int, room: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -253,6 +261,13 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def rooted(own: DataFrame, budget: int) -> DataFrame:
+    """``fp, least, root``: ``own`` (``fp, least``, distinct fingerprints) with the root of each fingerprint's group."""
+    comp = components(trie_links(own.select("fp"), budget))
+    return written(own.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-groups")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     budget: int = 3) -> DataFrame:
     """``id_col, fingerprint, component_id``: one row per row of ``docs``.
@@ -265,11 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     No documents give no rows.  Other columns are ignored.
     """
     fp = written(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
-    own = fp.groupBy("fp").agg(F.min("doc").alias("least"))
-    comp = components(trie_links(own.select("fp"), budget))
-    grouped = own.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    grouped = written(grouped, "simhash-groups")
+    grouped = rooted(fp.groupBy("fp").agg(F.min("doc").alias("least")), budget)
     best = grouped.groupBy("root").agg(F.min("least").alias("component"))
     named = grouped.join(best, "root").select("fp", "component")
     return fp.join(named, "fp").select(
@@ -278,21 +289,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-             budget: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their group, all columns kept; of rows that repeat an id, one.
+             budget: int = 3, id_once: bool = True) -> DataFrame:
+    """One row of each group of ``docs``, of the group's least id, all columns kept.
 
     Rows with a null id stay only if no row of their group has an id, and then one of them.
+    Of different texts with the least id, that of the least digest stays.  With
+    ``id_once`` an id (null is none) that is the least of several groups stays in
+    one of them only; without, every group keeps its row, so ids may repeat.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, budget)
-    stay = written(groups.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-                   .groupBy(F.col(id_col).alias("_near_dup_id")).agg(F.count(F.lit(1)).alias("_near_dup_rows")),
-                   "simhash-stay")
+    fp = written(fingerprints(docs, id_col, text_col, shingle, keyed=True), "simhash-fps")
+    # equal id and text: equal rows but for other columns, counted and later cut to one
+    row = F.struct(F.col("doc").isNull().alias("none"), "doc", "key", "rows")
+    own = (fp.groupBy("fp", "doc", "key").agg(F.count(F.lit(1)).alias("rows"))
+           .groupBy("fp").agg(F.min(row).alias("least")))
+    best = rooted(own, budget).groupBy("root").agg(F.min("least").alias("row")).select("row.*")
+    if id_once:
+        best = best.where("none").unionByName(best.where("not none").groupBy("doc").agg(
+            F.min(F.struct("none", "doc", "key", "rows")).alias("row")).select("row.*"))
+    stay = written(best.select(F.col("doc").alias("_near_dup_id"), F.col("key").alias("_near_dup_key"),
+                               F.col("rows").alias("_near_dup_rows")), "simhash-stay")
 
     def rows(which: DataFrame) -> DataFrame:
-        # the ids that stay grow with the corpus: merged, never broadcast, whatever the size
-        return docs.join(which.hint("merge"), F.col(id_col).eqNullSafe(F.col("_near_dup_id")), "left_semi")
+        # the rows that stay grow with the corpus: merged, never broadcast, whatever the size
+        return docs.join(which.hint("merge"), F.col(id_col).eqNullSafe(F.col("_near_dup_id"))
+                         & (text_key(text_col) == F.col("_near_dup_key")), "left_semi")
 
     again = stay.where("_near_dup_rows > 1")
     if again.isEmpty():
         return rows(stay)
-    return rows(stay.where("_near_dup_rows = 1")).unionByName(rows(again).dropDuplicates([id_col]))
+    cut = "_near_dup_key"
+    return rows(stay.where("_near_dup_rows = 1")).unionByName(
+        rows(again).withColumn(cut, text_key(text_col)).dropDuplicates([id_col, cut]).drop(cut))

@@ -313,3 +313,18 @@ def test_secret_beyond_a_base_span_is_found(spark, sample):
     assert found[2] == [(2, "markov", 6), (6, "hex", 30), (30, "markov", 36)]
     text = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert text[1] == "a [SECRET][SECRET] b" and text[2] == "c [SECRET][SECRET][SECRET] d"
+
+
+@pytest.mark.parametrize("id_once", [True, False])
+def test_one_row_of_each_group_stays_whatever_its_id(spark, id_once):
+    r = random.Random(9)
+    a, b, c, d, e, f = (" ".join(str(r.random()) for _ in range(30)) for _ in range(6))
+    rows = [(None, a), (None, a), (None, b), (None, b.replace(" ", "  ")), (None, c), (7, d), (None, d),  # null ids
+            (8, e), (8, e), (8, f), (2, a + " "), (8, a)]  # 8: the least of two groups, and a copy in 2's
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    kept = simhash.keep_one(docs, id_once=id_once)
+    assert kept.columns == docs.columns
+    got = [(x.doc_id, " ".join(x.text.split())) for x in kept.collect()]
+    eight = [x for x in got if x[0] == 8]
+    assert Counter(x for x in got if x[0] != 8) == Counter([(2, a), (None, b), (None, c), (7, d)])
+    assert len(eight) == 1 and eight[0] in [(8, e), (8, f)] if id_once else Counter(eight) == Counter([(8, e), (8, f)])
