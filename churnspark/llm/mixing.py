@@ -9,8 +9,8 @@ targets (with a weak pull of every rate towards its bound) fits rates >= 0.
 
 Features are binned, so documents fall into a bounded number of *cells* (the
 product of the bins, ``CELLS`` at most); a cell's documents share posterior and
-rate.  One aggregation turns the corpus into the table of cells; each gradient
-step is one small job over it, which returns one total per domain.  A rate is a
+rate.  One aggregation turns the corpus into the table of cells; the gradient
+steps run over it, many in one small job, until the targets are met.  A rate is a
 function of its cell alone, so documents get theirs by a broadcast of at most
 ``CELLS`` rows, and texts are never shuffled.  DataFrame functions only.
 """
@@ -121,54 +121,80 @@ def _posteriors(cells: DataFrame, labelled: DataFrame, domains: list[str]) -> Da
 
 
 def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]], targets: dict[str, float],
-            most: float = 1.0, rounds: int = 60, pull: float = 3e-4, tolerance: float = 1e-4) -> Mix:
+            most: float = 1.0, rounds: int = 200, pull: float = 3e-4, least_pull: float = 1e-8,
+            tolerance: float = 0.01) -> Mix:
     """Rates in [0, most] by accelerated projected gradient descent.
 
     ``cells``: ``_cell, tokens`` (all documents); ``labelled``: ``_cell,
     _domain``; ``targets``: the domains' weights.  The distance is that of the
-    domains' expected tokens to their nearest multiple of the weights, so the
-    mix is as large as its bounds allow; the pull is towards ``most``.  It
-    ends when a round moves no total by ``tolerance`` of all tokens.
+    domains' expected tokens, each over its target, to their common mean, so a
+    rare domain counts as much as any; the pull is towards ``most``.  All cells
+    are one row of arrays, and a job does ``rounds`` steps on it.  It ends when
+    every domain's share is within ``tolerance`` of its target (relative);
+    until then the pull shrinks, and at its least the descent goes on as long
+    as a job still lessens the error (targets that no mix can reach).
+    The rates are then as large as their bound allows.
     """
     domains = list(targets)
+    k = len(domains)
     posts = _posteriors(cells, labelled, domains)
     whole = cells.agg(F.sum("tokens").alias("t")).first().t or 0
     p = F.col("posterior")
     t = written(cells.join(posts, "_cell").select("_cell", p, (F.col("tokens") / max(whole, 1)).alias("w")), "mix-cells")
-
-    def totals(rate: Column) -> list[float]:
-        row = t.agg(*[F.coalesce(F.sum(F.col("w") * rate * p[i]), F.lit(0.0)).alias(f"s{i}")
-                      for i in range(len(domains))]).first()
-        return list(row)
-
-    norm = sum(x * x for x in targets.values()) ** 0.5
-    goal = [x / norm for x in targets.values()]
-    step = 1 / (1 + pull)
-    past: list[list[float]] = []  # each round: its momentum, then the residual of every domain
-
-    def state() -> Column:
-        one = F.struct(F.lit(float(most)).alias("rate"), F.lit(float(most)).alias("ahead"))
-        if not past:
-            return one
-        table = F.array(*[F.array(*map(F.lit, x)) for x in past])
-
-        def go(s, g):
-            slope = sum((p[i] * g[i + 1] for i in range(len(domains))), F.lit(0.0)) + pull * (s["ahead"] - most)
-            return let(F.least(F.greatest(s["ahead"] - step * slope, F.lit(0.0)), F.lit(float(most))), lambda r: F.struct(
-                r.alias("rate"), (r + g[0] * (r - s["rate"])).alias("ahead")))
-        return F.aggregate(table, one, go)
-
-    speed, before = 1.0, None
-    for _ in range(rounds):
-        now = totals(state()["ahead"])
-        along = sum(s * g for s, g in zip(now, goal))
-        faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
-        past.append([(speed - 1) / faster, *[s - along * g for s, g in zip(now, goal)]])
-        speed = faster
-        if before and max(abs(a - b) for a, b in zip(now, before)) < tolerance:
+    goal = [max(x / sum(targets.values()), 1e-4) for x in targets.values()]
+    bent = t.agg(*[F.coalesce(F.sum(F.col("w") * p[i] * p[i]), F.lit(0.0)) for i in range(k)]).first()
+    bend = sum(x / g ** 2 for x, g in zip(bent, goal)) or 1.0  # bounds the distance's curvature
+
+    def total(x: Column, term) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda s, c: s + term(c))
+
+    def totals(x: Column, rate: str) -> Column:
+        return F.aggregate(x, F.array(*[F.lit(0.0)] * k), lambda s, c: F.array(*[
+            s[i] + c["w"] * c[rate] * c["posterior"][i] for i in range(k)]))
+
+    def go(state: Column, pull: float) -> Column:
+        def stepped(scaled: Column) -> Column:
+            mean = sum((scaled[i] for i in range(1, k)), scaled[0]) / k
+            force = F.array(*[(scaled[i] - mean) / (g * bend) for i, g in enumerate(goal)])
+            return let(force, lambda f: F.transform(state["all"], lambda c: F.struct(
+                c["_cell"].alias("_cell"), c["posterior"].alias("posterior"), c["w"].alias("w"),
+                F.least(F.greatest(c["ahead"] - (sum((c["posterior"][i] * f[i] for i in range(1, k)), c["posterior"][0] * f[0])
+                                                 + pull * (c["ahead"] - most)) / (1 + pull), F.lit(0.0)), F.lit(float(most))).alias("rate"),
+                c["rate"].alias("before"), c["ahead"].alias("ahead"))))
+
+        def moved(x: Column) -> Column:
+            # the momentum starts anew where it points uphill
+            uphill = total(x, lambda c: c["w"] * (c["ahead"] - c["rate"]) * (c["rate"] - c["before"])) > 0
+            speed = F.when(uphill, F.lit(1.0)).otherwise(state["speed"])
+            return let(speed, lambda v: let((1 + F.sqrt(1 + 4 * v * v)) / 2, lambda faster: F.struct(
+                F.transform(x, lambda c: F.struct(
+                    c["_cell"].alias("_cell"), c["posterior"].alias("posterior"), c["w"].alias("w"), c["rate"].alias("rate"),
+                    (c["rate"] + (v - 1) / faster * (c["rate"] - c["before"])).alias("ahead"))).alias("all"),
+                faster.alias("speed"))))
+
+        scaled = let(totals(state["all"], "ahead"), lambda s: F.array(*[s[i] / g for i, g in enumerate(goal)]))
+        return let(let(scaled, stepped), moved)
+
+    full = F.lit(float(most))
+    now = written(t.agg(F.sort_array(F.collect_list(F.struct(
+        "_cell", "posterior", "w", full.alias("rate"), full.alias("ahead")))).alias("all")).select(
+            F.struct("all", F.lit(1.0).alias("speed")).alias("state")), "mix-state")
+    before = None
+    while True:
+        sums = now.select(totals(F.col("state.all"), "rate").alias("s")).first().s
+        error = max(abs(x / (sum(sums) or 1.0) - g) / g for x, g in zip(sums, goal))
+        if error <= tolerance or not any(sums):
             break
-        before = now
-    rates = written(t.select("_cell", "posterior", state()["rate"].alias("rate")), "mix-rates")
+        if before is not None:
+            if pull <= least_pull and error > 0.99 * before:
+                break
+            pull = max(pull / 4, least_pull)
+        before = error
+        now = written(now.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("state"), lambda s, _: go(s, pull)).alias("state")),
+                      "mix-state")
+    top = F.greatest(F.array_max(F.transform(F.filter("state.all", lambda c: c["w"] > 0), lambda c: c["rate"])), F.lit(1e-300))
+    rates = written(now.select(top.alias("top"), F.explode("state.all").alias("c")).select(
+        "c._cell", "c.posterior", F.least(F.col("c.rate") * (most / F.col("top")), full).alias("rate")), "mix-rates")
     return Mix(domains, markers, rates)
 
 
@@ -187,8 +213,8 @@ def _fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col:
 def _copies(rate: Column, key: Column) -> Column:
     """The rate rounded up or down by a hash, so that its mean is kept and a re-run repeats it."""
     u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(11)), 11).cast("double") + 0.5) / float(1 << 53)
-    # a rate within 1e-3 of a whole number is that number: the fit is no finer
-    whole = F.when(F.abs(rate - F.round(rate)) < 1e-3, F.round(rate)).otherwise(F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0))
+    # a rate within 1e-3 of a whole number but 0 is that number: the fit is no finer
+    whole = F.when((F.abs(rate - F.round(rate)) < 1e-3) & (F.round(rate) > 0), F.round(rate)).otherwise(F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0))
     return whole.cast("int")
 
 

@@ -107,6 +107,22 @@ def test_mixing_meets_targets(spark, messy, empty):
     assert mixing.mix(messy, labels, {"a": 0.5, "b": 0.5}).columns == messy.columns
 
 
+def test_mixing_meets_rare_and_scarce_targets(spark):
+    def fitted(tokens, targets):
+        names = list(targets)
+        cells = spark.createDataFrame([(str(i), n) for i, n in enumerate(tokens)], "_cell string, tokens long")
+        labelled = spark.createDataFrame([(str(i), names[i]) for i in range(len(names)) for _ in range(200_000)], "_cell string, _domain string")
+        mix = mixing.fit_mix(cells, labelled, {}, targets)
+        got = {r._cell: r for r in mix.cells.collect()}
+        mass = np.array([sum(n * got[str(c)].rate * got[str(c)].posterior[i] for c, n in enumerate(tokens)) for i in range(len(names))])
+        return mass / mass.sum(), [got[str(c)].rate for c in range(len(tokens))]
+
+    for tokens, want in [((985_000, 5_000, 10_000), (0.994, 0.001, 0.005)), ((990_000, 10_000), (0.95, 0.05))]:
+        shares, rates = fitted(tokens, dict(zip("abc", want)))
+        assert np.abs(shares / want - 1).max() <= 0.01 and max(rates) == 1.0, (shares, rates)
+    assert fitted((1000, 0), {"a": 0.5, "b": 0.5})[1][0] == 1.0  # nothing of b: a is not held back
+
+
 def test_pipeline_against_brute_force(spark):
     from churnspark.llm import quality_net
     from .test_texts import brute_components, brute_spans
