@@ -28,12 +28,16 @@ from churnspark.operators import monitor as R
 from churnspark.session import checkpoint_dir
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The ``events`` table as a file stream; the schema is the batch table's."""
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = 1) -> DataFrame:
+    """The ``events`` table as a file stream; the schema is the batch table's.
+    ``max_files`` None: all files in one trigger, however many."""
     path = os.path.join(sf_dir, "events.parquet")
     schema = spark.read.parquet(path).schema
     # a file source wants a folder or a pattern; this pattern fits the one name only
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path[:-1] + "[t]")
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    s = reader.parquet(path[:-1] + "[t]")
     # watermarks need TIMESTAMP (with time zone semantics); the file stores NTZ
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
