@@ -261,13 +261,13 @@ def m10_coefficients(spark, d):
 @query("m11_importances")
 def m11_importances(spark, d):
     pm, tr, _ = _train_test(spark, d)
-    return M.importances(M.fit_forest(tr, LABEL, trees=50), E.feature_names(pm), 20)
+    return M.importances(M.fit_forest(tr, LABEL, trees=200), E.feature_names(pm), 20)
 
 
 @query("m12_permutation_importance")
 def m12_permutation_importance(spark, d):
     """AUC drop of the fitted pipeline + logistic model on the raw test rows
-    when one input column is permuted."""
+    when one input column is permuted, for every input."""
     s = cut_lineage(V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42))
     pm = E.build_preprocessor().fit(s.where(F.col("split") == "train"))
     lr = M.fit_logistic(pm.transform(s.where(F.col("split") == "train")), LABEL)
@@ -275,7 +275,7 @@ def m12_permutation_importance(spark, d):
 
     def scored(df):
         return lr.transform(pm.transform(df)).withColumn("score", M.prob1())
-    return M.permutation_importance(scored, raw, ["tenure_months", "contract", "monthly_charges"], "customerid", LABEL)
+    return M.permutation_importance(scored, raw, S.INPUT_FIELDS, "customerid", LABEL)
 
 
 # ------------------------------------------------------------------ I
@@ -301,7 +301,7 @@ def i3_mlp_forward(spark, d):
     """Forward pass with NumPy over Arrow batches, using the weights of a
     fitted Spark network; compared with Spark's own probability."""
     pm, tr, te = _train_test(spark, d)
-    m = M.fit_mlp(tr, LABEL, hidden=(16, 8), max_iter=30)
+    m = M.fit_mlp(tr, LABEL, hidden=(128, 64))
     layers = m.getLayers()
     w = m.weights.toArray()
     ws, off = [], 0
@@ -315,9 +315,10 @@ def i3_mlp_forward(spark, d):
     # softmax over 2 outputs == sigmoid of the logit difference
     W2, b2 = ws[-1]
     ws[-1] = ((W2[1] - W2[0])[None, :], np.array([b2[1] - b2[0]]))
-    x = te.withColumn("features_arr", vector_to_array("features"))
+    every = tr.unionByName(te)
+    x = every.withColumn("features_arr", vector_to_array("features"))
     f = I.mlp_forward(x, ws, keep=["customerid"], out="numpy_score", hidden_activation="sigmoid")
-    ref = m.transform(te).select("customerid", M.prob1().alias("spark_score"))
+    ref = m.transform(every).select("customerid", M.prob1().alias("spark_score"))
     return f.join(ref, "customerid").withColumn("abs_diff", F.abs(F.col("numpy_score") - F.col("spark_score")))
 
 

@@ -130,3 +130,19 @@ def test_readiness_flags(spark):
     d = tempfile.mkdtemp(prefix="ready-")
     r = I.readiness(spark, d, os.path.join(d, "missing"), "v1", 0.16).first()
     assert (r.model_loaded, r.preprocessor_loaded, r.version, r.threshold) == (True, False, "v1", 0.16)
+
+
+def test_queries_do_the_whole_fit(spark, monkeypatch):
+    from conftest import SF001
+
+    from churnspark.plans import q_ml
+    trees, inputs, hidden = [], [], []
+    forest, net = M.fit_forest, M.fit_mlp
+    monkeypatch.setattr(q_ml.M, "fit_forest", lambda t, label, **k: trees.append(k.get("trees", 200)) or forest(t, label, trees=5))
+    monkeypatch.setattr(q_ml.M, "fit_mlp", lambda t, label, **k: hidden.append(k.get("hidden", (128, 64))) or net(t, label, max_iter=5, **k))
+    monkeypatch.setattr(q_ml.M, "permutation_importance", lambda f, df, cols, *a: inputs.extend(cols) or f(df).select(*cols).limit(1).collect())
+    q_ml.m12_permutation_importance(spark, SF001)
+    assert inputs == S.INPUT_FIELDS
+    q_ml.m11_importances(spark, SF001)
+    assert trees == [200]
+    assert q_ml.i3_mlp_forward(spark, SF001).count() == q_ml.feat(spark, SF001).count() and hidden == [(128, 64)]
