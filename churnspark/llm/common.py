@@ -47,3 +47,18 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """As ``written``, but dealt into buckets of ``key``, one for each shuffle partition, by the tasks that hold the rows.
+
+    Nothing is shuffled to write it, and later joins and groupings on ``key``
+    read it in place: only their other side moves.  The table's name is dropped
+    from the catalogue at once; its files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.option("path", f"{checkpoint_dir(spark)}/{name}").bucketBy(shuffle_partitions(spark), key).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
