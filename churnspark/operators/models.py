@@ -62,6 +62,25 @@ def rule_score(df: DataFrame, charge: float = 65.0, tenure: int = 12, use_charge
     return df.withColumn("score", F.coalesce(cond, F.lit(False)).cast("double"))
 
 
+def fit_group_rate(train: DataFrame, by: Sequence[str], label: str = "churn_value"):
+    """A closed-form scorer: the positive rate of a row's group in ``train``, or
+    of all of ``train`` for a group not met there.  Returns a function
+    DataFrame -> DataFrame adding ``score``.  One aggregate (the groups and the
+    total); the join is left to the planner, as groups may be many."""
+    y = F.col(label).cast("double")
+    rates = train.groupBy(*by).agg(F.avg(y).alias("_rate"))
+    whole = train.agg(F.avg(y)).first()[0]
+
+    def score(df: DataFrame) -> DataFrame:
+        r = rates.select(*[F.col(c).alias(f"_{c}") for c in by], "_rate")
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        return (df.join(r, same, "left").withColumn("score", F.coalesce("_rate", F.lit(whole)))
+                  .drop("_rate", *[f"_{c}" for c in by]))
+    return score
+
+
 # ---------------------------------------------------------------- M3-M6
 def fit_logistic(train: DataFrame, label: str = "churn_value", C: float = 1.0, penalty: str = "l2",
                  features: str = "features", max_iter: int = 100):

@@ -4,8 +4,7 @@ expressions plus the fitted ML stages, so it runs wherever the data is."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -169,4 +168,17 @@ def batch_score_job(raw: DataFrame, preprocessor, model, out_path: str, score_da
     return s
 
 
-__all__ = ["json"]
+def nightly_scores(records: DataFrame, scorer: Callable[[DataFrame], DataFrame], out_path: str, score_date: str,
+                   log_root: str | None = None, run_id: str | None = None) -> int:
+    """I7 with any scorer: one night's customers into the dated table (S12), and
+    a row in the run log (S13).  The night's date is replaced as a whole, so a
+    run that was cut short or saw half its input is simply run again; other
+    dates are not touched.  Returns the rows that the date now has, counted in
+    the written table: what was scored need not be computed twice for it."""
+    from churnspark.sources.io import log_run, write_predictions
+    spark = records.sparkSession
+    write_predictions(scorer(records).withColumn("score_date", F.lit(score_date)), out_path)
+    n = spark.read.parquet(out_path).where(F.col("score_date").cast("string") == score_date).count()
+    if log_root:
+        log_run(spark, log_root, run_id or score_date, "nightly", {"score_date": score_date}, {"rows": n}, {"job": "nightly"})
+    return n

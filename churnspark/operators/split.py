@@ -9,7 +9,9 @@ total and a retried task reproduces the same assignment).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +62,60 @@ def oof_scores(df: DataFrame, fit: Callable[[DataFrame], object], fold: str = "f
     return out
 
 
+def oof_table(df: DataFrame, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], path: str,
+              keep: Sequence[str], fold: str = "fold", parallelism: int = 4) -> DataFrame:
+    """V4 as a job that survives losses: ``keep`` and ``score`` for every row, out of fold.
+
+    ``fit`` takes the rows of the other folds and returns a function that adds
+    ``score``.  The folds are fitted and scored side by side; each writes its
+    rows to its own folder ``path/<fold>=i``.  A fold whose folder is complete
+    is not fitted again, so after a failure the same call does only what is
+    missing.  All folds are tried before a failure is raised.  Rows without a
+    fold are in no fold's training or test rows and get no score."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def complete(i) -> bool:
+        mark = jvm.org.apache.hadoop.fs.Path(f"{path}/{fold}={i}/_SUCCESS")
+        return bool(mark.getFileSystem(conf).exists(mark))
+
+    @inheritable_thread_target(spark)
+    def one(i):
+        try:
+            score = fit(df.where(F.col(fold) != i))
+            score(df.where(F.col(fold) == i)).select(*keep, "score").write.mode("overwrite").parquet(f"{path}/{fold}={i}")
+        except Exception as e:  # noqa: BLE001 - raised below, once the other folds are written
+            return i, e
+
+    folds = [r[0] for r in df.select(fold).distinct().where(F.col(fold).isNotNull()).orderBy(fold).collect()]
+    with ThreadPool(parallelism) as pool:
+        failed = [x for x in pool.map(one, [i for i in folds if not complete(i)], chunksize=1) if x]
+    if failed:
+        raise RuntimeError(f"folds {[i for i, _ in failed]} of {len(folds)} failed") from failed[0][1]
+    if not folds:
+        return df.select(*keep, F.lit(None).cast("double").alias("score"), fold).limit(0)
+    return spark.read.parquet(path)
+
+
+def check_oof(df: DataFrame, oof: DataFrame, key: str, fold: str = "fold") -> DataFrame:
+    """One row: rows with a fold, scored rows, rows scored in their own fold exactly once, rows without a score."""
+    a = df.where(F.col(fold).isNotNull()).groupBy(key, fold).agg(F.count(F.lit(1)).alias("a"))
+    b = oof.groupBy(key, fold).agg(F.count(F.lit(1)).alias("b"), F.count("score").alias("scored"))
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return a.join(b, [key, fold], "full").agg(
+        n("a").alias("rows"), n("b").alias("out_rows"), n(F.when(F.col("a") == F.col("b"), F.col("a"))).alias("once"),
+        n(F.col("b") - F.col("scored")).alias("null_scores"))
+
+
+def fold_metrics(oof: DataFrame, threshold: float = 0.5, label: str = "label", fold: str = "fold") -> DataFrame:
+    """``model, fold, metric, value`` of out-of-fold scores: rates at the threshold and ROC-AUC of every fold."""
+    from churnspark.operators.evaluate import confusion, rates, roc_auc
+    keys = ["model", fold]
+    m = rates(confusion(oof, threshold, keys=keys, label=label)).join(roc_auc(oof, keys=keys, label=label), keys)
+    names = ["precision", "recall", "f1", "specificity", "accuracy", "npv", "mcc", "roc_auc"]
+    return m.select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in names])))
+
+
 def cv_summary(metrics: DataFrame, keys: Sequence[str] = ("model", "metric")) -> DataFrame:
     """V5: mean and population std of each metric over folds."""
     return metrics.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),

@@ -6,6 +6,8 @@ fitted models are checked by rows (and, in the tests, by an AUC floor)."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -14,12 +16,14 @@ from churnspark import schemas as S
 from churnspark.functions import encode as E
 from churnspark.operators import evaluate as A
 from churnspark.operators import models as M
+from churnspark.operators import network as N
 from churnspark.operators import scoring as I
+from churnspark.operators import search as H
 from churnspark.operators import split as V
 from churnspark.plans import sql as Q
 from churnspark.plans.registry import query, rounded
 from churnspark.plans.slice import cleaned_features
-from churnspark.session import cut_lineage
+from churnspark.session import checkpoint_dir, cut_lineage
 from churnspark.sources.tables import read_table, scores, snapshot
 
 LABEL = S.TARGET
@@ -204,52 +208,91 @@ def _train_test(spark, d):
     return pm, x.where(F.col("split") == "train"), x.where(F.col("split") == "test")
 
 
-def _model_report(name, model, test):
-    p = model.transform(test).select(F.lit(name).alias("model"), F.col("customerid").cast("bigint").alias("id"),
-                                     F.col(LABEL).alias("label"), M.prob1().alias("score"))
-    best = A.best_threshold(p).select("model", "threshold")
-    return A.full_metrics(p, best)
+def three_parts(spark, d):
+    """Encoded rows for fitting, for choosing (thresholds, early stop) and for
+    reporting (V2), the preprocessor fitted on the first."""
+    s = V.stratified_split(feat(spark, d), LABEL, "customerid", 0.2, 42, val_frac=0.2)
+    pm = E.build_preprocessor().fit(s.where(F.col("split") == "train"))
+    x = cut_lineage(pm.transform(s))
+    return [x.where(F.col("split") == p) for p in ("train", "validation", "test")]
+
+
+def _model_report(name, scorer, valid, test):
+    """Metrics on the test rows at the threshold that is best on the validation rows."""
+    def scored(df):
+        return scorer(df).select(F.lit(name).alias("model"), F.col("customerid").cast("bigint").alias("id"),
+                                 F.col(LABEL).alias("label"), "score")
+    best = A.best_threshold(scored(valid)).select("model", "threshold")
+    return A.full_metrics(scored(test), best)
+
 
+def _reported(name, fit):
+    """Register a fitted model's report; ``fit`` takes the training rows and returns a Spark ML model."""
+    def run(spark, d):
+        train, valid, test = three_parts(spark, d)
+        m = fit(train)
+        return _model_report(name, lambda df: m.transform(df).withColumn("score", M.prob1()), valid, test)
+    return run
 
-query("m3_logistic")(lambda spark, d: (lambda pm, tr, te: _model_report(
-    "logistic", M.fit_logistic(tr, LABEL, C=1.0), te))(*_train_test(spark, d)))
-query("m3_logistic_l1")(lambda spark, d: (lambda pm, tr, te: _model_report(
-    "logistic_l1", M.fit_logistic(tr, LABEL, C=0.008809, penalty="l1"), te))(*_train_test(spark, d)))
-query("m4_random_forest")(lambda spark, d: (lambda pm, tr, te: _model_report(
-    "random_forest", M.fit_forest(tr, LABEL), te))(*_train_test(spark, d)))
-query("m5_gbt")(lambda spark, d: (lambda pm, tr, te: _model_report(
-    "gbt", M.fit_gbt(tr, LABEL), te))(*_train_test(spark, d)))
-query("m6_mlp")(lambda spark, d: (lambda pm, tr, te: _model_report(
-    "mlp", M.fit_mlp(tr, LABEL), te))(*_train_test(spark, d)))
+
+query("m3_logistic")(_reported("logistic", lambda tr: M.fit_logistic(tr, LABEL, C=1.0)))
+query("m3_logistic_l1")(_reported("logistic_l1", lambda tr: M.fit_logistic(tr, LABEL, C=0.008809, penalty="l1")))
+query("m4_random_forest")(_reported("random_forest", lambda tr: M.fit_forest(tr, LABEL)))
+query("m5_gbt")(_reported("gbt", lambda tr: M.fit_gbt(tr, LABEL)))
+
+
+@query("m6_mlp")
+def m6_mlp(spark, d):
+    """M6: 30-128-64-1 with weighted loss, stopped by the validation loss."""
+    train, valid, test = three_parts(spark, d)
+    return _model_report("mlp", N.fit_network(train, valid, LABEL).transform, valid, test)
 
 
 @query("m7_early_stop")
 def m7_early_stop(spark, d):
-    """Early stop over the logistic fit's per-iteration objective history."""
-    _, tr, _ = _train_test(spark, d)
-    m = M.fit_logistic(tr, LABEL)
-    h = [("logistic", i, float(v)) for i, v in enumerate(m.summary.objectiveHistory)]
-    return M.early_stop(spark.createDataFrame(h, "run string, epoch int, value double"), patience=3, min_delta=1e-6)
+    """M7: stop and best iteration by the losses on the validation rows, of the
+    boosted trees (one per tree) and of the network (one per epoch)."""
+    train, valid, _ = three_parts(spark, d)
+    gbt = M.fit_gbt(train, LABEL, iters=60)
+    losses = gbt.evaluateEachIteration(valid.withColumn(LABEL, F.col(LABEL).cast("double")))
+    trees = spark.createDataFrame([("gbt", i, float(v)) for i, v in enumerate(losses, 1)], "run string, epoch int, value double")
+    net = N.fit_network(train, valid, LABEL).history(spark).select("run", "epoch", F.col("val_loss").alias("value"))
+    return M.early_stop(trees.unionByName(net), patience=10, min_delta=1e-4)
+
+
+#: Trials of each family in the registered studies, in 5 folds.  A full study has 50 of each (README: figures).
+STUDY_TRIALS = {"logistic": 4, "network": 1, "forest": 1, "gbt": 1}
+CURVE_TRIALS = {"logistic": 3, "forest": 1}
+
+
+def study_data(spark, d):
+    f = V.stratified_folds(feat(spark, d), LABEL, "customerid", 5, 42)
+    return cut_lineage(E.build_preprocessor().fit(f).transform(f))
 
 
-def _search(spark, d):
-    from pyspark.ml.classification import LogisticRegression
-    f = V.stratified_folds(feat(spark, d), LABEL, "customerid", 3, 42)
-    x = cut_lineage(E.build_preprocessor().fit(f).transform(f))
-    lr = LogisticRegression(featuresCol="features", labelCol=LABEL, standardization=False)
-    return M.search(x, lr, {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]}, n_trials=4,
-                    fold="fold")
+def _study(spark, d, trials):
+    return H.run_studies(study_data(spark, d), trials, f"{checkpoint_dir(spark)}/study-{uuid.uuid4().hex}", parallelism=8)
 
 
 @query("m8_search")
 def m8_search(spark, d):
-    return _search(spark, d)[1]
+    """M8: the trial table of the four families' studies."""
+    return _study(spark, d, STUDY_TRIALS)
 
 
-@query("m9_convergence")
+@query("m9_convergence", "\nUNION ALL ".join(f"SELECT '{s}' AS study, CAST({n} AS BIGINT) AS trials, true AS same" for s, n in CURVE_TRIALS.items()))
 def m9_convergence(spark, d):
-    t = _search(spark, d)[1].withColumn("study", F.lit("logistic"))
-    return M.convergence(t)
+    """M9: the best-so-far curve of every study, held against plain SQL over the
+    trial table (a self-join in place of the window)."""
+    t = cut_lineage(_study(spark, d, CURVE_TRIALS))
+    t.createOrReplaceTempView("churnspark_trials")
+    ref = spark.sql("""SELECT a.study, a.trial, max(b.value) AS ref FROM churnspark_trials a JOIN churnspark_trials b
+        ON a.study = b.study AND b.trial <= a.trial WHERE a.value > -1e7 AND b.value > -1e7 GROUP BY a.study, a.trial""")
+    spark.catalog.dropTempView("churnspark_trials")
+    j = H.convergence(t).join(ref, ["study", "trial"], "full")
+    same = j.groupBy("study").agg(F.count_if(~F.col("best_so_far").eqNullSafe(F.col("ref"))).alias("off"))
+    return t.groupBy("study").agg(F.count(F.lit(1)).cast("bigint").alias("trials")).join(same, "study", "left").select(
+        "study", "trials", (F.coalesce("off", F.lit(0)) == 0).alias("same"))
 
 
 @query("m10_coefficients")

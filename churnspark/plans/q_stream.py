@@ -12,6 +12,7 @@ from churnspark import schemas as S
 from churnspark.plans import sql as Q
 from churnspark.plans.q_monitor import ERR, EV, H, OUTCOME, outcomes, preds
 from churnspark.plans.registry import query, rounded
+from churnspark.sources.tables import events
 from churnspark.streaming import jobs as ST
 
 
@@ -94,6 +95,44 @@ def stream_outcome_join(spark, d):
     return ST.outcome_from_hits(preds(spark, d), _ntz(hits, "o_ts"), outcomes(spark, d), H)
 
 
+#: Seconds by which an event comes late, by its number: most at once, some hours, days or weeks later.
+LATE_SQL = "CASE WHEN event_id % 10 = 3 THEN 259200 WHEN event_id % 10 = 7 THEN 43200 WHEN event_id % 17 = 5 THEN 1296000 ELSE 0 END"
+LOAD_SECONDS = 5 * 86400
+
+
+@query("r24_late_rows", Q.with_(f"""ar AS (SELECT event_id, ts, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') + CAST(1000000 AS BIGINT) * ({LATE_SQL}))
+           // CAST({LOAD_SECONDS * 1000000} AS BIGINT) AS load FROM events),
+mx AS (SELECT load, max(ts) AS top FROM ar GROUP BY load),
+wm AS (SELECT load, date_trunc('millisecond', max(top) OVER (ORDER BY load ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+              - INTERVAL 2 DAY AS wm FROM mx)""",
+  """SELECT CAST(load AS BIGINT) AS load, CAST(count(*) FILTER (WHERE wm IS NULL OR ts > wm) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (WHERE ts <= wm) AS BIGINT) AS dropped, min(ts) FILTER (WHERE ts <= wm) AS first_dropped,
+  max(ts) FILTER (WHERE ts <= wm) AS last_dropped, min(ts) FILTER (WHERE wm IS NULL OR ts > wm) AS first_kept
+FROM ar JOIN wm USING (load) GROUP BY load"""))
+def r24_late_rows(spark, d):
+    """The events come in loads of five days by time of arrival, up to two
+    weeks late.  The job starts anew for every load and goes on from its
+    checkpoint; a watermark of two days decides what still counts."""
+    base = ST._work_dir(spark, "late")
+    feed, out = os.path.join(base, "feed"), os.path.join(base, "out")
+    start = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    micros = F.unix_micros("ts") - start + 1_000_000 * F.expr(LATE_SQL).cast("long")
+    arrivals = ST.with_cast_ts(events(spark, d).select("event_id", "ts")).withColumn(
+        "load", F.floor(micros / (LOAD_SECONDS * 1_000_000)).cast("long"))
+
+    def run():
+        s = spark.readStream.schema(arrivals.schema).parquet(feed)
+        ST.split_late(s, out, os.path.join(base, "ck"), "event_id").trigger(availableNow=True).start().awaitTermination()
+
+    ST.in_loads(arrivals, "load", feed, run)
+    both = [spark.read.schema(arrivals.schema).parquet(os.path.join(out, n)).withColumn("late", F.lit(n == "late"))
+            for n in ("kept", "late")]
+    late, ts = F.col("late"), F.col("ts").cast("timestamp_ntz")
+    return both[0].unionByName(both[1]).groupBy("load").agg(
+        F.count_if(~late).alias("kept"), F.count_if(late).alias("dropped"), F.min(F.when(late, ts)).alias("first_dropped"),
+        F.max(F.when(late, ts)).alias("last_dropped"), F.min(F.when(~late, ts)).alias("first_kept"))
+
+
 @query("i9_stream_score")
 def i9_stream_score(spark, d):
     """JSON records (mixed casing, Title-Case keys) arrive as a text

@@ -202,3 +202,6 @@ PREDICTION_LOG_SCHEMA = T.StructType([
     T.StructField("prediction", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
+
+# Chi-square bounds of the 5 % level for 1, 2, ... degrees of freedom.
+CHI2_05 = (3.841458820694124, 5.991464547107979, 7.814727903251179, 9.487729036781154)

@@ -157,6 +157,23 @@ def verify_reload(original, reloaded, df: DataFrame, key: str, col: str = "featu
     return m
 
 
+def reload_check(model, path: str, df: DataFrame, key: str, col: str, atol: float = 1e-10) -> DataFrame:
+    """Save a fitted stage or pipeline, load it, and compare vector
+    column ``col`` of both on every row of ``df``: one row ``rows, max_diff, same``.
+    ``key`` must be unique.  A row that only one of the two returns, a vector of
+    another length and a NaN on one side count as different."""
+    from pyspark.ml import PipelineModel
+    save_pipeline(PipelineModel(stages=[model]), path)
+    again = load_pipeline(path)
+    a = model.transform(df).select(key, vector_to_array(col).alias("a"))
+    b = again.transform(df).select(key, vector_to_array(col).alias("b"))
+    off = F.aggregate(F.zip_with("a", "b", lambda x, y: F.when(x.eqNullSafe(y), 0.0).otherwise(F.abs(x - y))),
+                      F.lit(0.0), lambda m, x: F.greatest(m, F.coalesce(x, F.lit(float("inf")))))
+    d = a.join(b, key, "full").select(F.coalesce(off, F.lit(float("inf"))).alias("d"))
+    return d.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), F.max("d").alias("max_diff"),
+                 (F.coalesce(F.max("d"), F.lit(0.0)) <= atol).alias("same"))
+
+
 def file_md5(spark: SparkSession, path: str) -> DataFrame:
     """MD5 of files (binaryFile source; one row per file)."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.md5("content").alias("md5"))

@@ -137,7 +137,58 @@ def stream_score(records: DataFrame, score_fn: Callable[[DataFrame], DataFrame],
     return (records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch))
 
 
-# ---------------------------------------------------------------- R6, R11, R12, R23, R24
+# ---------------------------------------------------------------- R24
+def arrived_and_kept(feed: DataFrame, key: str, ts: str = "ts", watermark: str = "2 days") -> DataFrame:
+    """Every row of the stream once as it arrived (``_kept`` false) and, if the
+    watermark let it pass, once more (``_kept`` true).
+
+    The watermark is Spark's own: a stateful operator (``dropDuplicates`` on
+    the key and time, so a row that is delivered twice counts once) drops what
+    is older than the latest time of the batches before, less the delay; its
+    state holds the keys of one delay."""
+    kept = feed.withWatermark(ts, watermark).dropDuplicates([key, ts])
+    return kept.withColumn("_kept", F.lit(True)).unionByName(feed.withColumn("_kept", F.lit(False)))
+
+
+def split_late(feed: DataFrame, out_dir: str, checkpoint: str, key: str, ts: str = "ts", watermark: str = "2 days"):
+    """A stream writer (start it with any trigger) that keeps two tables:
+    ``out_dir/kept``, what the watermark let pass, and ``out_dir/late``, the rows
+    that it dropped.
+
+    Spark itself only counts dropped rows.  Here each batch's arrivals are
+    compared with what came through of the same batch (a null-safe anti join
+    that never looks beyond the batch).  Both tables are written by
+    ``batch_id``, overwriting the batch's own folder, so a batch that is run
+    again after a failure leaves no row twice.  A row that repeats the key and
+    time of one kept in an earlier batch is no news and is in ``late`` too."""
+    def per_batch(batch: DataFrame, batch_id: int):
+        b = batch.persist()
+        kept = b.where("_kept").drop("_kept")
+        seen = kept.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
+        late = (b.where("not _kept").drop("_kept")
+                 .join(seen, F.col(key).eqNullSafe(F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t")), "left_anti"))
+        for name, rows in (("kept", kept), ("late", late)):
+            rows.write.mode("overwrite").parquet(os.path.join(out_dir, name, f"batch_id={batch_id}"))
+        b.unpersist()
+
+    return (arrived_and_kept(feed, key, ts, watermark).writeStream
+            .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
+
+
+def in_loads(arrivals: DataFrame, load: str, path: str, after_each: Callable[[], None]) -> None:
+    """Deliver a table as a file feed, out of time order: the rows of each value
+    of ``load``, in its order, are added to ``path``, and ``after_each`` runs
+    what reads them, as a job does that starts anew for every delivery.  The
+    loads are few (one a night, say); the table is dealt to them in one pass."""
+    stage = f"{path}-stage-{uuid.uuid4().hex[:8]}"
+    arrivals.withColumn("_load", F.col(load)).write.partitionBy("_load").parquet(stage)
+    rows = arrivals.sparkSession.read.parquet(stage)
+    for r in rows.select("_load").distinct().orderBy("_load").collect():
+        rows.where(F.col("_load") == r[0]).drop("_load").write.mode("append").parquet(path)
+        after_each()
+
+
+# ---------------------------------------------------------------- R6, R11, R12, R23
 def error_rates_stream(log: DataFrame, window: str = "1 day", watermark: str = "2 days") -> DataFrame:
     """R12 on a stream: 4xx / 5xx share per tumbling window (watermarked)."""
     s = F.col("status")
@@ -170,8 +221,8 @@ def positive_rate_stream(preds: DataFrame, window: str = "7 days", watermark: st
 
 def sessions_stream(events: DataFrame, gap: str = "30 minutes", watermark: str = "2 hours",
                     key: str = "user_id") -> DataFrame:
-    """Session windows per customer on a stream; rows later than
-    the watermark are dropped (and counted in the progress events)."""
+    """Session windows per customer on a stream; rows later than the
+    watermark are dropped (and counted in the progress events)."""
     g = (events.withWatermark("ts", watermark)
                .groupBy(key, F.session_window("ts", gap).alias("s"))
                .agg(F.count(F.lit(1)).cast("bigint").alias("n_events")))
