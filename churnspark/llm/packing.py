@@ -18,6 +18,7 @@ the histogram and the patterns, never a document.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -25,6 +26,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import tokenizers
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,24 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: Runs of blanks that the fast encoder's pattern is trusted with: from some 600,000 on it gives up.
+SAFE_RUN = 50_000
+_LONG_RUN = re.compile(r"\s{%d}" % SAFE_RUN)
+
+
+@cache
+def plain_encoder(path: str) -> tokenizers.Tokenizer:
+    return tokenizers.Tokenizer.from_file(path)
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """The tokenizer's ids, without special tokens added.  A text with a very
+    long run of blanks goes to ``tokenizers`` itself: slower, the same ids."""
+    if len(text) > SAFE_RUN and _LONG_RUN.search(text):
+        return plain_encoder(path).encode(text, add_special_tokens=False).ids
+    return encoder(path).encode(text, allowed_special="all")
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, start, length, ids_crc32, doc_tokens``: each text's ids and ``END``, cut at multiples of ``capacity``."""
     bounded_batches(docs.sparkSession)
@@ -59,11 +79,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id
     names = ["doc", "start", "length", "ids_crc32", "doc_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
         for b in batches:
             rows: list[tuple] = []
             for i, t in enumerate(b.column(1)):
-                ids = np.array([*enc.encode(t.as_py() or "", allowed_special="all"), END], "<u4")
+                ids = np.array([*token_ids(tokenizer, t.as_py() or ""), END], "<u4")
                 rows += [(i, at, len(part := ids[at:at + capacity]), zlib.crc32(part.tobytes()), len(ids))
                          for at in range(0, len(ids), capacity)]
             cols = np.array(rows, np.int64).reshape(-1, 5).T

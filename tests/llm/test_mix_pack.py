@@ -22,6 +22,24 @@ def test_ranks_give_the_tokenizers_ids(text):
     assert packing.encoder(Q.tokenizer_file()).encode(text, allowed_special="all") == TOKENS.encode(text, add_special_tokens=False).ids
 
 
+BLANKS = [" ", "\t", "\n", "\u3000"]
+
+
+def test_long_runs_of_blanks_give_the_tokenizers_ids():
+    """Beyond some 600,000 blanks the fast encoder's pattern gives up; nothing may be lost or changed there."""
+    path, n = Q.tokenizer_file(), 1_200_000
+    texts = [b * n for b in BLANKS[:2]] + ["a" + " " * n, "\n" * n + "word", "one" + "\t " * (n // 2) + "two  three", "é" + "\u3000" * 200_000 + "<|x"]
+    short = [x + b * k + y for b in BLANKS for k in (1, 2, 49_999, 50_001) for x, y in (("a", "b"), ("", "1"), (".", ""))]
+    for t in texts + short:
+        assert packing.token_ids(path, t) == TOKENS.encode(t, add_special_tokens=False).ids
+
+
+def test_a_text_of_blanks_is_packed(spark):
+    rows = [(1, "x" + " " * 1_000_000 + "y"), (2, "\n" * 700_000), (3, "z" * 300_000), (4, "plain words")]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), Q.tokenizer_file(), 1024).collect()
+    check_pack(out, rows, 1024)
+
+
 def check_pack(out, rows, capacity):
     per, seq = defaultdict(list), defaultdict(list)
     for r in out:
