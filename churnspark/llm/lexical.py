@@ -33,7 +33,7 @@ from churnspark.llm.common import bounded_batches, bucketed, written
 
 BLOCK = 128
 #: Documents and postings at which a segment closes.
-SEGMENT_DOCS, SEGMENT_POSTINGS = 1 << 16, 1 << 21
+SEGMENT_DOCS, SEGMENT_POSTINGS = 1 << 16, 1 << 20
 #: (item, term) rows of the queries that are answered together: what is sent to every task.
 QUERY_TERMS = 200_000
 _CHUNK = 1 << 20
