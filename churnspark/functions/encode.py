@@ -152,24 +152,37 @@ class OneHotDropFirstModel(Model, _Cols):
         out = {}
         for c, vs in self.cats().items():
             for v in vs[1:]:      # first sorted category dropped; unknown -> all zeros
-                out[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0))
-        return df.withColumns(out)
+                # marked, so that the assembler takes no column that merely has such a name
+                out[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0)).alias(f"{c}_{v}", metadata={"onehot": c})
+        return df.drop(*[c for c in out if c in df.columns]).select("*", *out.values())
 
 
 class OneHotDropFirst(Estimator, _Cols):
     """E5: one-hot with the first *sorted* category dropped (the stock
-    ``OneHotEncoder`` drops the last); unknown values encode to all zeros."""
+    ``OneHotEncoder`` drops the last); unknown values encode to all zeros.
+
+    Columns with more than ``maxCategories`` values are refused: as many
+    columns would be made of them, and the driver never sees more values."""
+
+    maxCategories = Param(Params._dummy(), "maxCategories", "values of a column, at most", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCols=None):
+    def __init__(self, inputCols=None, maxCategories=1000):
         super().__init__()
+        self._setDefault(maxCategories=1000)
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
         cols = self.getInputCols()
         lf = long_form(df, cols, value_type="string").where(F.col("value").isNotNull())
-        rows = lf.groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("cats")).collect()
-        got = {r["column"]: list(r["cats"]) for r in rows}
+        most = self.getOrDefault(self.maxCategories)
+        got: dict[str, list] = {}
+        for r in lf.distinct().limit(most * len(cols) + 1).collect():  # one value more than all columns may have
+            got.setdefault(r["column"], []).append(r["value"])
+        wide = [c for c, v in got.items() if len(v) > most]
+        if wide:
+            raise ValueError(f"more than {most} categories in {wide}")
+        got = {c: sorted(v, key=lambda x: x.encode()) for c, v in got.items()}
         return OneHotDropFirstModel(inputCols=cols, categories=json.dumps({c: got.get(c, []) for c in cols}))
 
 
@@ -178,7 +191,7 @@ class NamedAssembler(Estimator, HasOutputCol, DefaultParamsReadable, DefaultPara
     """Assemble, in a fixed order, the numeric, binary, one-hot (whatever the
     one-hot stage produced) and pass-through columns into one vector."""
 
-    groups = Param(Params._dummy(), "groups", "json: list of column-name lists or prefixes",
+    groups = Param(Params._dummy(), "groups", "json: list of column-name lists or one-hot columns",
                    TypeConverters.toString)
 
     @keyword_only
@@ -189,22 +202,18 @@ class NamedAssembler(Estimator, HasOutputCol, DefaultParamsReadable, DefaultPara
     def _fit(self, df):
         cols = []
         for g in json.loads(self.getOrDefault(self.groups)):
-            if isinstance(g, str):       # prefix group: columns made by the one-hot stage
-                cols += sorted(c for c in df.columns if c.startswith(g))
+            if isinstance(g, str):       # what the one-hot stage made of column g
+                cols += sorted(f.name for f in df.schema.fields if f.metadata.get("onehot") == g)
             else:
                 cols += g
         return VectorAssembler(inputCols=cols, outputCol=self.getOutputCol(), handleInvalid="error")
 
 
-def onehot_prefixes(cols: Sequence[str]) -> list[str]:
-    return [f"{c}_" for c in cols]
-
-
 def build_preprocessor(num=S.NUM_PIPE, binary=S.BINARY_PIPE, onehot=S.ONEHOT_PIPE,
                        passthrough=S.PASS_PIPE, output: str = "features") -> Pipeline:
     """Impute -> log1p -> standardize numerics; Yes/No ordinal; one-hot
     drop-first; pass-through flags; assemble (30 wide on the customer table)."""
-    groups = [list(num), list(binary)] + [f"{c}_" for c in onehot] + [list(passthrough)]
+    groups = [list(num), list(binary), *onehot, list(passthrough)]
     return Pipeline(stages=[
         ExactMedianImputer(inputCols=list(num)), Log1p(inputCols=list(num)),
         PopStandardScaler(inputCols=list(num)), YesNoEncoder(inputCols=list(binary)),

@@ -4,8 +4,8 @@
    un-partitioned window (which would move every row into one task).  Rows are
    first collapsed to distinct values (map-side partial aggregation, so a hot
    value costs one row), each distinct value gets a bucket between quantiles of
-   the values, running sums are taken inside ``(keys, bucket)`` and the
-   per-bucket totals (at most ``buckets`` rows per key) supply the offsets.
+   the values (as many as the row count asks for), running sums are taken inside
+   ``(keys, bucket)`` and the per-bucket totals supply the offsets.
 2. ``Grid`` + ``sweep``: the threshold sweep.  Each score is binned to the
    number of grid points at or below it, one ``groupBy(model, bin)`` pass
    builds a histogram, and suffix sums over at most a few hundred rows per
@@ -22,7 +22,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+#: A bucket is meant for so many rows (one task sorts it), and a key has so many buckets at most:
+#: the offsets of a key are one small sort.
+BUCKET_ROWS, MAX_BUCKETS = 250_000, 1024
 
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
@@ -41,16 +43,42 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(r, on).drop(*[f"_rk_{k}" for k in keys])
 
 
+def bucketed(d: DataFrame, keys: Sequence[str], v: Column, rows: int = 0, most: int = 0) -> DataFrame:
+    """Add ``_b``: each key's rows in ranges of ``v`` of about ``rows`` rows
+    (``BUCKET_ROWS``), ``most`` (``MAX_BUCKETS``) at most.
+
+    The ranges follow the data: one aggregate gives a key's row count and fine
+    quantiles, the count says how many of them are used.  So an outlier does not
+    fill a range, and a short key has one range only.  A row finds its range by
+    a search in two steps (every k-th bound, then k bounds), not along all bounds."""
+    rows, most = rows or BUCKET_ROWS, most or MAX_BUCKETS
+    q = d.groupBy(*keys).agg(F.percentile_approx(v, [i / most for i in range(1, most)], 20 * most).alias("_q"),
+                             F.count(F.lit(1)).alias("_rows"))
+    n = F.least(F.ceil(F.col("_rows") / rows), F.lit(most)).cast("int")
+    none = F.array().cast("array<double>")
+    q = q.withColumn("_n", n).withColumn("_cuts", F.when(F.col("_n") > 1, F.transform(
+        F.sequence(F.lit(1), F.col("_n") - 1), lambda i: F.element_at("_q", F.floor(i * most / F.col("_n")).cast("int")).cast("double")))
+        .otherwise(none))
+    step = F.ceil(F.sqrt(F.col("_n"))).cast("int")
+    tops = F.when(F.col("_n") > step, F.transform(
+        F.sequence(F.lit(1), F.floor((F.col("_n") - 1) / step).cast("int")), lambda j: F.element_at("_cuts", j * step))).otherwise(none)
+    q = q.select(*keys, "_cuts", step.alias("_step"), tops.alias("_tops"))
+    whole = F.size(F.filter("_tops", lambda c: c < v)) * F.col("_step")
+    b = whole + F.size(F.filter(F.slice("_cuts", whole + 1, F.col("_step")), lambda c: c < v))
+    return null_safe_join(d, q, keys).withColumn("_b", b).drop("_cuts", "_step", "_tops")
+
+
 def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Column],
                descending: bool = False, distinct: bool = True,
-               buckets: int = DEFAULT_BUCKETS, tiebreak: Sequence[str] = ()) -> DataFrame:
+               buckets: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Running (inclusive) sums of ``measures`` in ``order_col`` order per key.
 
-    Returns ``keys, order_col, <m>, cum_<m>`` (and ``prev_<m> = cum - m``).
-    With ``distinct=True`` rows are first collapsed to one row per distinct
-    value; with ``distinct=False`` the order column must already be unique
-    per key (e.g. a hash of the row key), and each row keeps its columns;
-    ``tiebreak`` columns make the order total (deterministic on retries).
+    Returns ``keys, order_col, <m>, cum_<m>``, ``prev_<m> = cum - m`` and
+    ``all_<m>``, the key's total.  With ``distinct=True`` rows are first collapsed
+    to one row per distinct value; with ``distinct=False`` each row keeps its
+    columns, and the order column must be unique per key (e.g. a hash of the
+    row key) or made so by the ``tiebreak`` columns (deterministic on retries).
+    ``buckets`` asks for so many ranges, however few the rows.
     """
     keys = _keys(keys)
     # rows without an order value have no place in an order
@@ -64,35 +92,30 @@ def cumulative(df: DataFrame, keys, order_col: str, measures: Mapping[str, Colum
         d = df.groupBy(*gk, order_col).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
     else:
         d = df.withColumns(dict(measures))
-    # split points are quantiles of the (distinct) values, so an outlier does not fill one bucket
-    cuts = d.groupBy(*gk).agg(F.percentile_approx(v, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_cuts"))
-    b = F.size(F.filter("_cuts", lambda c: c < v))
-    if descending:
-        b = F.lit(buckets - 1) - b
-    d = null_safe_join(d, cuts, gk).withColumn("_b", b).drop("_cuts")
+    d = bucketed(d, gk, v, 1, max(2, buckets)) if buckets else bucketed(d, gk, v)
     o = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
     o += [F.col(t).asc() for t in tiebreak]
     w_in = (Window.partitionBy(*gk, "_b").orderBy(*o)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = d.withColumns({f"_r_{n}": F.sum(n).over(w_in) for n in measures})
     tot = d.groupBy(*gk, "_b").agg(*[F.sum(n).alias(f"_t_{n}") for n in measures])
-    w_b = (Window.partitionBy(*gk).orderBy("_b")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    off = tot.select(*gk, "_b", *[F.coalesce(F.sum(f"_t_{n}").over(w_b), F.lit(0)).alias(f"_o_{n}")
-                                  for n in measures])
+    w_key = Window.partitionBy(*gk).orderBy(F.col("_b").desc() if descending else F.col("_b").asc())
+    before, whole = w_key.rowsBetween(Window.unboundedPreceding, -1), w_key.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    off = tot.select(*gk, "_b", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in measures],
+                     *[F.sum(f"_t_{n}").over(whole).alias(f"all_{n}") for n in measures])
     out = null_safe_join(run, off, gk + ["_b"])
     for n in measures:
         out = (out.withColumn(f"cum_{n}", F.col(f"_o_{n}") + F.col(f"_r_{n}"))
                   .withColumn(f"prev_{n}", F.col(f"cum_{n}") - F.col(n)))
-    out = out.drop("_b", *[f"_{p}_{n}" for p in "rot" for n in measures])
+    out = out.drop("_b", *[f"_{p}_{n}" for p in "ro" for n in measures])
     if not keys:
         out = out.drop("_k0")
     return out
 
 
 def exact_quantiles(df: DataFrame, keys, value_col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (the pandas / ``percentile`` rule)
     per key, computed from distributed prefix counts: no group is ever
     gathered into one task, whatever its size.  Nulls are ignored.
@@ -102,12 +125,7 @@ def exact_quantiles(df: DataFrame, keys, value_col: str, probs: Sequence[float],
     keys = _keys(keys)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     x = df.where(F.col(value_col).isNotNull())
-    c = cumulative(x, keys, value_col, {"_n": F.lit(1)}, buckets=buckets)
-    tot = (c.groupBy(*keys) if keys else c.groupBy()).agg(F.sum("_n").alias("n"))
-    if keys:
-        j = null_safe_join(c, tot, keys)
-    else:
-        j = c.withColumn("_j", F.lit(0)).join(F.broadcast(tot.withColumn("_j", F.lit(0))), "_j").drop("_j")
+    c = cumulative(x, keys, value_col, {"_n": F.lit(1)}, buckets=buckets).withColumnRenamed("all__n", "n")
     v = F.col(value_col).cast("double")
     aggs = []
     for p, nm in zip(probs, names):
@@ -115,7 +133,7 @@ def exact_quantiles(df: DataFrame, keys, value_col: str, probs: Sequence[float],
         aggs.append(F.min(F.when(F.col("cum__n") > F.floor(h), v)).alias(f"_lo_{nm}"))
         aggs.append(F.min(F.when(F.col("cum__n") > F.ceil(h), v)).alias(f"_hi_{nm}"))
         aggs.append(F.first((h - F.floor(h))).alias(f"_f_{nm}"))
-    g = (j.groupBy(*keys, "n") if keys else j.groupBy("n")).agg(*aggs)
+    g = c.groupBy(*keys, "n").agg(*aggs)
     cols = [*keys, "n"]
     for nm in names:
         lo, hi, fr = F.col(f"_lo_{nm}"), F.col(f"_hi_{nm}"), F.col(f"_f_{nm}")

@@ -72,7 +72,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     """Values outside the IQR fences, count and %."""
     keys = [*_keys(by), "column"]
     fences = numeric_profile(df, cols, by).select(*keys, "lower_fence", "upper_fence")
-    lf = numeric_long(df, cols, by).join(F.broadcast(fences), keys)   # one row per column/group
+    lf = numeric_long(df, cols, by).join(fences, keys)   # one row per column and group: the planner measures it
     out = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
     return lf.groupBy(*keys).agg(F.count_if(out).cast("bigint").alias("n_outliers"),
                                  (F.count_if(out) * 100.0 / F.count(F.lit(1))).alias("pct_outliers"))
@@ -83,7 +83,7 @@ def z_outliers(df: DataFrame, cols: Sequence[str], by=None, z: float = 3.0) -> D
     keys = [*_keys(by), "column"]
     lf = numeric_long(df, cols, by)
     st = lf.groupBy(*keys).agg(F.avg("value").alias("_mu"), F.stddev_pop("value").alias("_sd"))
-    j = lf.join(F.broadcast(st), keys)
+    j = lf.join(st, keys)
     out = F.coalesce(F.abs(F.try_divide(F.col("value") - F.col("_mu"), F.col("_sd"))) > z, F.lit(False))
     return j.groupBy(*keys).agg(F.count_if(out).cast("bigint").alias("n_outliers"),
                                 (F.count_if(out) * 100.0 / F.count(F.lit(1))).alias("pct_outliers"))
@@ -114,7 +114,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, by=None,
     lf = numeric_long(df, cols, by)
     rng = lf.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
                                 F.count(F.lit(1)).alias("_n"))
-    j = lf.join(F.broadcast(rng), keys)
+    j = lf.join(rng, keys)
     b = edge_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)
     h = j.groupBy(*keys, b.alias("bin"), "lo", "hi", "_n").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
     step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
@@ -132,7 +132,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by=None) -> DataFrame:
     keys = [*_keys(by), "column"]
     p = numeric_profile(df, cols, by)
     lf = numeric_long(df, cols, by).join(
-        F.broadcast(p.select(*keys, "lower_fence", "upper_fence")), keys)
+        p.select(*keys, "lower_fence", "upper_fence"), keys)
     wh = lf.groupBy(*keys).agg(
         F.min(F.when(F.col("value") >= F.col("lower_fence"), F.col("value"))).alias("whisker_low"),
         F.max(F.when(F.col("value") <= F.col("upper_fence"), F.col("value"))).alias("whisker_high"))

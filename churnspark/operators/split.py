@@ -22,9 +22,7 @@ def hash_rank(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
     """Add ``_rank`` (1-based, per label, by seeded hash) and ``_n`` (label size)."""
     h = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
     c = cumulative(h, [label], "_h", {"_one": F.lit(1).cast("bigint")}, distinct=False, tiebreak=[key])
-    n = c.groupBy(label).agg(F.sum("_one").alias("_n"))
-    return (c.join(F.broadcast(n), label)          # one row per label value
-             .withColumnRenamed("cum__one", "_rank").drop("_one", "prev__one", "_h"))
+    return c.withColumnsRenamed({"cum__one": "_rank", "all__one": "_n"}).drop("_one", "prev__one", "_h")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2,

@@ -4,6 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from churnspark.operators import prefix
 from churnspark.operators.prefix import Grid, cumulative, exact_quantiles, long_form, sweep
 
 
@@ -101,3 +102,41 @@ def test_flagship_scans_are_pruned(spark):
     for s in schemas:
         cols = {c.split(":")[0] for c in s.split(",")}
         assert cols <= {"o_custkey", "o_totalprice", "o_orderdate", "c_custkey", "c_acctbal", "c_nationkey"}, cols
+
+
+def test_buckets_follow_the_rows(spark):
+    """Ten times the rows: ten times the buckets, not larger ones; outliers, nulls and short keys included."""
+    rnd = random.Random(9)
+    for n in (500, 5000):
+        rows = [("a", rnd.gauss(0, 1)) for _ in range(n)] + [("a", 1e300), ("a", -1e300), ("b", 1.0), (None, 2.0)]
+        df = spark.createDataFrame(rows, "k string, v double")
+        sizes = {(r.k, r._b): r["count"] for r in prefix.bucketed(df, ["k"], F.col("v"), rows=100).groupBy("k", "_b").count().collect()}
+        assert max(sizes.values()) <= 130
+        assert abs(len([1 for k, _ in sizes if k == "a"]) - (n + 2 + 99) // 100) <= 1
+        assert sizes["b", 0] == sizes[None, 0] == 1
+
+
+def test_buckets_have_a_limit_and_keep_the_order(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(prefix, "MAX_BUCKETS", 50)
+    vals = [float(i * i) for i in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    b = [r._b for r in prefix.bucketed(df.withColumn("k", F.lit(1)), ["k"], F.col("v")).orderBy("v").collect()]
+    assert b == sorted(b) and set(b) == set(range(50)) and max(b.count(x) for x in set(b)) <= 25
+    for desc in (False, True):
+        c = cumulative(df, None, "v", {"n": F.lit(1), "s": F.col("v").cast("bigint")}, descending=desc).orderBy("v", ascending=not desc).collect()
+        assert [r.cum_n for r in c] == list(range(1, 1001)) and {r.all_n for r in c} == {1000}
+        assert c[-1].cum_s == c[0].all_s == sum(map(int, vals))
+
+
+def test_one_hot_takes_its_own_columns_only(spark):
+    import pytest
+    from churnspark.functions import encode as E
+    df = spark.createDataFrame([("a", 7.0), ("b", 8.0), (None, 9.0)], "c string, c_other double")
+    model = E.build_preprocessor(num=[], binary=[], onehot=["c"], passthrough=["c_other"])
+    stages = model.getStages()[4:]
+    from pyspark.ml import Pipeline
+    fitted = Pipeline(stages=stages).fit(df)
+    assert E.feature_names(fitted) == ["c_b", "c_other"]
+    with pytest.raises(ValueError, match="more than 1 categories"):
+        E.OneHotDropFirst(inputCols=["c"], maxCategories=1).fit(df)
