@@ -144,19 +144,24 @@ def top_lift(df: DataFrame, frac: float = 0.10, keys=("model",), score: str = "s
     keys = list(keys)
     y = F.col(label).cast("bigint")
     c = cumulative(df, keys, score, {"cnt": F.lit(1).cast("bigint"), "pos": y}, descending=True)
-    tot = c.groupBy(*keys).agg(F.sum("cnt").alias("n"), F.sum("pos").alias("P"))
-    tot = tot.withColumn("k", F.ceil(F.col("n") * frac).cast("bigint"))
-    c = c.join(F.broadcast(tot), keys)
-    inside = c.groupBy(*keys).agg(
-        F.sum(F.when(F.col("cum_cnt") <= F.col("k"), F.col("pos")).otherwise(0)).alias("pos_full"))
-    boundary = (c.where((F.col("prev_cnt") < F.col("k")) & (F.col("cum_cnt") > F.col("k")))
-                 .select(*keys, F.col(score).alias("_bs"), (F.col("k") - F.col("prev_cnt")).alias("_r")))
-    rows = df.join(F.broadcast(boundary), keys).where(F.col(score) == F.col("_bs"))
-    rc = cumulative(rows.select(*keys, id_col, label, "_r"), keys, id_col,
+    c = c.withColumn("k", F.ceil(F.col("all_cnt") * frac).cast("bigint"))
+    at_edge = (F.col("prev_cnt") < F.col("k")) & (F.col("cum_cnt") > F.col("k"))
+    top = c.groupBy(*keys).agg(
+        F.first("all_cnt").alias("n"), F.first("all_pos").alias("P"), F.first("k").alias("k"),
+        F.sum(F.when(F.col("cum_cnt") <= F.col("k"), F.col("pos")).otherwise(0)).alias("pos_full"),
+        F.max(F.when(at_edge, F.struct(F.col(score).alias("s"), (F.col("k") - F.col("prev_cnt")).alias("r")))).alias("_edge"))
+    edge = top.where("_edge is not null").select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_edge.s").alias("_s"), F.col("_edge.r").alias("_r"))
+    on = F.col(score) == F.col("_s")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    rc = cumulative(df.join(edge, on).select(*keys, id_col, label, "_r"), keys, id_col,
                     {"one": F.lit(1).cast("bigint")}, distinct=False)
-    part = rc.where(F.col("cum_one") <= F.col("_r")).groupBy(*keys).agg(
+    part = rc.where(F.col("cum_one") <= F.col("_r")).groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.sum(F.col(label)).alias("pos_part"))
-    out = tot.join(inside, keys).join(part, keys, "left")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = top.join(part, same, "left")
     top_pos = F.col("pos_full") + F.coalesce(F.col("pos_part"), F.lit(0))
     base = F.col("P") / F.col("n")
     return out.select(*keys, "n", "k", top_pos.cast("bigint").alias("top_positives"),
@@ -185,36 +190,40 @@ def scenario_grid(df: DataFrame, recalls: Sequence[float] = (0.5, 0.7, 0.8, 0.9)
                     F.try_divide(gross - cost, cost).alias("roi"))
 
 
-def strategy_compare(scored: DataFrame, recall_target: float = 0.70, conversion: float = 0.5,
+def strategy_compare(scored: DataFrame, recall_targets: Sequence[float] = (0.70, 0.90), conversion: float = 0.5,
                      offer_cost: float = 73.52, keys=("model",), grid: Grid | None = None) -> DataFrame:
-    """No action / contact everyone / model at the highest grid threshold
-    whose recall >= target.  Offers cost only when accepted (conversion);
-    ``value_per_churner`` is the mean ``fn_cost`` of the positives."""
+    """No action, everyone contacted, and the model at each recall target.
+
+    No action loses all that the churners are worth.  Contacting everyone keeps
+    every churner and spends an offer on each customer who would have stayed.
+    The model contacts the churners found at the highest grid threshold whose
+    recall reaches the target; ``conversion`` of them accept and cost an offer.
+    ``alerts`` counts all rows at or above the threshold.  ``value_lost`` is the
+    worth of the churners not retained; a churner is worth the mean ``fn_cost``
+    of the positives.  A target that no threshold reaches has null figures."""
     keys = list(keys)
     s = sweep(scored, grid or Grid.percent(1, 99), keys, extra={"v": F.col("fn_cost")})
-    s = s.withColumn("recall", _div0(F.col("tp"), F.col("tp") + F.col("fn")))
-    pick = s.where(F.col("recall") >= recall_target).groupBy(*keys).agg(
-        F.max_by(F.struct("tp", "fp", "fn", "tn", "threshold"), F.col("threshold")).alias("m"))
+    recall = _div0(F.col("tp"), F.col("tp") + F.col("fn"))
+    pick = s.groupBy(*keys).agg(*[F.max_by(F.struct("tp", "fp"), F.when(recall >= t, F.col("threshold"))).alias(f"_m{i}")
+                                  for i, t in enumerate(recall_targets)])
     base = scored.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("P"),
         F.sum(F.when(F.col("label") == 1, F.col("fn_cost")).otherwise(0.0)).alias("V"))
     j = base.join(pick, keys, "left")
     mean_v = F.col("V") / F.col("P")
 
-    def row(name, contacted, retained_churners):
-        accepted = contacted * conversion
-        cost = accepted * offer_cost
-        saved = retained_churners * mean_v
-        return F.struct(F.lit(name).alias("strategy"), contacted.cast("double").alias("contacted"),
-                        retained_churners.cast("double").alias("retained"), saved.alias("value_saved"),
-                        cost.alias("offer_cost"), (saved - cost).alias("net"),
-                        ((F.col("P") - retained_churners) * mean_v).alias("value_lost"))
-
-    rows = F.array(row("no_action", F.lit(0.0), F.lit(0.0)),
-                   row("contact_all", F.col("n").cast("double"), F.col("P") * conversion),
-                   row(f"model_recall_{recall_target:g}", (F.col("m.tp") + F.col("m.fp")).cast("double"),
-                       F.col("m.tp") * conversion))
-    return j.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
+    def row(name, alerts, contacted, retained, cost, net=None):
+        saved = retained * mean_v
+        return F.struct(F.lit(name).alias("strategy"), alerts.cast("double").alias("alerts"), contacted.cast("double").alias("contacted"),
+                        retained.cast("double").alias("retained"), saved.alias("value_saved"), cost.cast("double").alias("offer_cost"),
+                        (saved - cost if net is None else net).alias("net"), ((F.col("P") - retained) * mean_v).alias("value_lost"))
+
+    zero, stay = F.lit(0.0), F.col("n") - F.col("P")
+    rows = [row("no_action", zero, zero, zero, zero, -F.col("V")), row("contact_all", F.col("n"), stay, F.col("P"), stay * offer_cost)]
+    for i, t in enumerate(recall_targets):
+        tp = F.col(f"_m{i}.tp")
+        rows.append(row(f"model_recall_{t:g}", tp + F.col(f"_m{i}.fp"), tp, tp * conversion, tp * conversion * offer_cost))
+    return j.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
 
 
 def break_even(df: DataFrame, fixed: float = 500.0, action_costs: Sequence[float] = (30.0, 50.0, 75.0),

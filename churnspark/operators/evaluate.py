@@ -70,37 +70,52 @@ def rates(conf: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- curves, A4-A9
-def score_points(df: DataFrame, keys=KEYS, score: str = "score", label: str = "label",
-                 buckets: int = 1024) -> DataFrame:
+def score_points(df: DataFrame, keys=KEYS, score: str = "score", label: str = "label") -> DataFrame:
     """Distinct scores per key, descending, with TP/FP counts at threshold
     = that score (``tp`` = positives with score >= s) and class totals."""
-    keys = list(keys)
     y = F.col(label).cast("bigint")
-    c = cumulative(df, keys, score, {"pos": y, "neg": 1 - y}, descending=True, buckets=buckets)
-    tot = c.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return (c.join(F.broadcast(tot), keys)
-             .withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"}))
-
+    c = cumulative(df, list(keys), score, {"pos": y, "neg": 1 - y}, descending=True)
+    return c.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "all_pos": "P", "all_neg": "N"})
 
-def roc_auc(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
-    """A4: ROC-AUC with ties (rank-sum on distinct scores; null for one class).
 
-    The numerator sum(pos * (2*neg_below + neg)) is an exact integer; it reaches
-    2 * P * N, so it is summed as a 38-digit decimal."""
-    p = score_points(df, keys, **kw)
+def _auc() -> Column:
+    """ROC-AUC as an aggregate over score points.  The numerator
+    sum(pos * (2*neg_below + neg)) is an exact integer; it reaches 2 * P * N, so
+    it is summed as a 38-digit decimal."""
     below = (2 * (F.col("N") - F.col("fp")) + F.col("neg")).cast("decimal(19,0)")
     num = F.sum(F.col("pos").cast("decimal(18,0)") * below)
-    return p.groupBy(*keys).agg(
-        F.try_divide(num.cast("double"), 2.0 * F.first("P").cast("double") * F.first("N").cast("double"))
-        .alias("roc_auc"))
+    return F.try_divide(num.cast("double"), 2.0 * F.first("P").cast("double") * F.first("N").cast("double"))
+
+
+def _ap() -> Column:
+    """Average precision as an aggregate over score points."""
+    term = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
+    return F.try_divide(F.sum(term), F.first("P").cast("double"))
+
+
+def roc_auc(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
+    """A4: ROC-AUC with ties (rank-sum on distinct scores; null for one class)."""
+    return score_points(df, keys, **kw).groupBy(*keys).agg(_auc().alias("roc_auc"))
 
 
 def average_precision(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
     """A5: sum over distinct thresholds of (recall step) x precision."""
-    p = score_points(df, keys, **kw)
-    term = F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return p.groupBy(*keys).agg(
-        F.try_divide(F.sum(term), F.first("P").cast("double")).alias("average_precision"))
+    return score_points(df, keys, **kw).groupBy(*keys).agg(_ap().alias("average_precision"))
+
+
+def point_metrics(df: DataFrame, threshold=S.DEFAULT_THRESHOLD, keys=KEYS, **kw) -> DataFrame:
+    """A1, A4 and A5 from one pass over the scores: confusion at the threshold,
+    ``roc_auc`` and ``average_precision``.  A key whose scores are all null or NaN
+    has no points and no row."""
+    p, t = _thr(score_points(df, keys, **kw), threshold, list(keys))
+    hit = F.col(kw.get("score", "score")) >= t
+    g = p.groupBy(*keys, "threshold").agg(
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("_tp"), F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("_fp"),
+        F.first("P").alias("_P"), F.first("N").alias("_N"), _auc().alias("roc_auc"), _ap().alias("average_precision"))
+    big = lambda c: c.cast("bigint")
+    return g.select(*keys, "threshold", big(F.col("_tp")).alias("tp"), big(F.col("_fp")).alias("fp"),
+                    big(F.col("_N") - F.col("_fp")).alias("tn"), big(F.col("_P") - F.col("_tp")).alias("fn"),
+                    "roc_auc", "average_precision")
 
 
 def roc_curve(df: DataFrame, keys=KEYS, **kw) -> DataFrame:
@@ -209,28 +224,21 @@ def best_threshold(df: DataFrame, slo: float = S.SLO_RECALL_MIN,
 def full_metrics(df: DataFrame, threshold, costs: S.CostModel = S.DEFAULT_COSTS,
                  slo: float = S.SLO_RECALL_MIN, keys=KEYS) -> DataFrame:
     """roc_auc, pr_auc, recall, precision, f1, confusion, value, slo_ok."""
-    keys = list(keys)
-    conf = confusion(df, threshold, keys)
     r = rate_cols()
-    m = conf.select(*keys, "threshold", "tp", "tn", "fp", "fn",
-                    r["recall"].alias("recall"), r["precision"].alias("precision"),
-                    r["f1"].alias("f1"), value_expr(costs).alias("business_value"),
-                    (r["recall"] >= slo).alias("slo_ok"))
-    return (m.join(roc_auc(df, keys), keys).join(
-        average_precision(df, keys).withColumnRenamed("average_precision", "pr_auc"), keys))
+    return point_metrics(df, threshold, keys).select(
+        *keys, "threshold", "tp", "tn", "fp", "fn", r["recall"].alias("recall"), r["precision"].alias("precision"),
+        r["f1"].alias("f1"), value_expr(costs).alias("business_value"), (r["recall"] >= slo).alias("slo_ok"), "roc_auc",
+        F.col("average_precision").alias("pr_auc"))
 
 
 def holdout_metrics(df: DataFrame, threshold=S.DEFAULT_THRESHOLD, keys=KEYS) -> DataFrame:
     """Hold-out record, everything rounded to 2 decimals."""
     keys = list(keys)
-    conf = confusion(df, threshold, keys)
     r = rate_cols()
-    m = conf.select(*keys, "tp", "tn", "fp", "fn", r["f1"].alias("test_f1"),
-                    r["recall"].alias("test_recall"), r["precision"].alias("test_precision"),
-                    r["accuracy"].alias("test_accuracy"))
-    m = m.join(roc_auc(df, keys).withColumnRenamed("roc_auc", "test_roc_auc"), keys).join(
-        average_precision(df, keys).withColumnRenamed("average_precision", "test_average_precision"),
-        keys)
+    m = point_metrics(df, threshold, keys).select(
+        *keys, "tp", "tn", "fp", "fn", r["f1"].alias("test_f1"), r["recall"].alias("test_recall"),
+        r["precision"].alias("test_precision"), r["accuracy"].alias("test_accuracy"), F.col("roc_auc").alias("test_roc_auc"),
+        F.col("average_precision").alias("test_average_precision"))
     out = [*keys] + [F.round(F.col(c).cast("double"), 2).alias(c) for c in
                      ("test_roc_auc", "test_average_precision", "test_f1", "test_recall",
                       "test_precision", "test_accuracy")]
@@ -360,13 +368,45 @@ RELEASE_RULES = [("recall", ">=", 0.70), ("roc_auc", ">=", 0.80),
 AUTO_REJECT = [("roc_auc", "<", 0.80), ("recall", "<", 0.50)]
 
 
+#: A new model must better the one before it by so much in either metric.
+IMPROVEMENT = [("roc_auc", 0.005), ("f1", 0.010)]
+
+
+def _rule(metric: str, op: str, bound: float) -> Column:
+    c = F.col(metric)
+    return {">=": c >= bound, ">": c > bound, "<=": c <= bound, "<": c < bound}[op]
+
+
+def release_decision(metrics: DataFrame, previous: DataFrame | None = None, rules=RELEASE_RULES, reject=AUTO_REJECT,
+                     improvement=IMPROVEMENT) -> DataFrame:
+    """A25, the whole gate: ``failed_rules``, ``reject_rules`` (the automatic
+    rejections that apply), ``improves`` and ``decision``.
+
+    ``improves`` is true if a metric gains as much as ``improvement`` asks over
+    ``previous`` (one row: the model in use), and null if there is none.  A model
+    is rejected if an automatic rejection applies or an AUC or recall is
+    missing, promoted if no rule fails and it does not fail to improve, and held
+    otherwise."""
+    hits = [F.when(F.coalesce(_rule(*r), F.lit(True)), F.lit("{} {} {}".format(*r))) for r in reject]
+    m = release_gate(metrics, rules).withColumn("reject_rules", F.filter(F.array(*hits), lambda x: x.isNotNull()))
+    if previous is None:
+        better = F.lit(None).cast("boolean")
+    else:
+        old = previous.select(*[F.col(c).alias(f"_old_{c}") for c, _ in improvement]).limit(1)  # the one row
+        m = m.join(F.broadcast(old), F.lit(True), "left")
+        better = F.lit(False)
+        for c, gain in improvement:  # in steps of 1e-9, so that 0.850 against 0.845 is a gain of 0.005
+            better = better | F.coalesce(F.round(F.col(c) - F.col(f"_old_{c}"), 9) >= gain, F.lit(False))
+        better = F.when(F.coalesce(*[F.col(f"_old_{c}") for c, _ in improvement]).isNotNull(), better)
+    m = m.withColumn("improves", better)
+    decision = (F.when(F.size("reject_rules") > 0, "reject").when(F.col("passed") & F.coalesce("improves", F.lit(True)), "promote")
+                .otherwise("hold"))
+    return m.withColumn("decision", decision).drop(*[f"_old_{c}" for c, _ in improvement])
+
+
 def release_gate(metrics: DataFrame, rules=RELEASE_RULES) -> DataFrame:
     """List of failed rules per model."""
-    fails = []
-    for m, op, bound in rules:
-        c = F.col(m)
-        ok = {">=": c >= bound, ">": c > bound, "<=": c <= bound, "<": c < bound}[op]
-        fails.append(F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"{m} {op} {bound}")))
+    fails = [F.when(~F.coalesce(_rule(m, op, bound), F.lit(False)), F.lit(f"{m} {op} {bound}")) for m, op, bound in rules]
     return metrics.withColumn("failed_rules", F.filter(F.array(*fails), lambda x: x.isNotNull())) \
                   .withColumn("passed", F.size("failed_rules") == 0)
 

@@ -168,36 +168,34 @@ def attach_outcome(preds: DataFrame, events: DataFrame, horizon_days: int = 30,
     (p.ts, p.ts + horizon]; 0 otherwise.  Only predictions whose horizon has
     fully elapsed (p.ts + horizon <= max event ts) are kept.
 
-    Exact without pairing rows: the first event after p.ts on p's own day
-    comes from a window over (key, day) of the union of both sides; later
-    days use one aggregated row per (key, day) (earliest event) joined to at
-    most ``horizon_days`` day offsets per prediction."""
+    Exact without pairing or multiplying rows: the first event after p.ts on
+    p's own day comes from a window over (key, day) of the union of both sides;
+    the first one of a later day comes from a window over the key's active
+    *days* (one row each, so a key has no more rows there than the calendar has
+    days).  A row without a key has no events."""
     p = preds.select(pid, key, F.col(ts).alias("p_ts"))
-    e = events.select(key, F.col(ts).alias("e_ts"))
+    e = events.where(F.col(key).isNotNull()).select(key, F.col(ts).alias("e_ts"))
     day = lambda c: F.to_date(c)
-    # same-day: next event after the prediction inside (key, day)
     u = (p.select(pid, key, F.col("p_ts").alias("t"), F.lit(0).alias("is_e"))
           .unionByName(e.select(F.lit(None).cast(preds.schema[pid].dataType).alias(pid), key,
-                                F.col("e_ts").alias("t"), F.lit(1).alias("is_e"))))
-    w = (Window.partitionBy(key, day(F.col("t"))).orderBy(F.col("t"), F.col("is_e").desc())
+                                F.col("e_ts").alias("t"), F.lit(1).alias("is_e")))
+          .withColumn("d", day(F.col("t"))))
+    w = (Window.partitionBy(key, "d").orderBy(F.col("t"), F.col("is_e").desc())
          .rowsBetween(1, Window.unboundedFollowing))
-    same = (u.withColumn("nxt", F.min(F.when(F.col("is_e") == 1, F.col("t"))).over(w))
-              .where(F.col("is_e") == 0).select(pid, F.col("nxt").alias("next_same_day")))
-    # later days: earliest event per (key, day), matched to day offsets 1..H
-    first = e.groupBy(key, day(F.col("e_ts")).alias("d")).agg(F.min("e_ts").alias("first_e"))
-    px = p.withColumn("d", F.explode(F.sequence(F.date_add(day(F.col("p_ts")), 1),
-                                               F.date_add(day(F.col("p_ts")), horizon_days))))
-    later = px.join(first, [key, "d"]).groupBy(pid).agg(F.min("first_e").alias("next_later"))
+    event = F.when(F.col("is_e") == 1, F.col("t"))
+    same = (u.withColumn("_same", F.min(event).over(w)).where(F.col("is_e") == 0)
+             .select(pid, key, "d", F.col("t").alias("p_ts"), "_same"))
+    days = u.groupBy(key, "d").agg(F.min(event).alias("_first"))
+    wd = Window.partitionBy(key).orderBy("d").rowsBetween(1, Window.unboundedFollowing)
+    later = days.select(key, "d", F.min("_first").over(wd).alias("_later"))
     mx = events.agg(F.max(ts).alias("_max"))
-    j = (p.join(same, pid, "left").join(later, pid, "left")
-          .withColumn("_j", F.lit(1)).join(F.broadcast(mx.withColumn("_j", F.lit(1))), "_j"))
-    nxt = F.coalesce(F.col("next_same_day"), F.col("next_later"))
+    j = same.join(later, [key, "d"], "left").withColumn("_j", F.lit(1)).join(F.broadcast(mx.withColumn("_j", F.lit(1))), "_j")
+    nxt = F.coalesce(F.col("_same"), F.col("_later"))
     limit = F.col("p_ts") + F.expr(f"INTERVAL {int(horizon_days)} DAYS")
     hit = nxt.isNotNull() & (nxt <= limit)
-    out = j.where(limit <= F.col("_max")).select(
+    return j.where(limit <= F.col("_max")).select(
         pid, key, F.col("p_ts").alias(ts), F.when(hit, 1).otherwise(0).alias("outcome"),
         F.when(hit, nxt).alias("next_event_ts"))
-    return out
 
 
 def latest_prediction_before(events: DataFrame, preds: DataFrame, key: str = "user_id",
@@ -303,6 +301,21 @@ def job_slo(runs: DataFrame, deadline_hour: int = 4, max_seconds: float = 7200.0
                             "success_ok": F.col("success_rate") >= success})
 
 
+def service_slo(log: DataFrame, period: str = "month", p95_ms: float = 200.0, p99_ms: float = 500.0,
+                error_rate: float = 0.001, availability: float = 0.999) -> DataFrame:
+    """R26, the service's objectives: per period exact p95 and p99 latency, error
+    rate (status 500 and above) and availability (share of requests not answered
+    503), and whether each is met.  Rows without a time are left out."""
+    x = log.where(F.col("ts").isNotNull()).withColumn("period", F.date_trunc(period, "ts"))
+    q = exact_quantiles(x, ["period"], "elapsed_ms", [0.95, 0.99], ["p95_ms", "p99_ms"]).drop("n")
+    g = x.groupBy("period").agg(F.count(F.lit(1)).cast("bigint").alias("requests"),
+                                F.avg((F.col("status") >= 500).cast("double")).alias("error_rate"),
+                                F.avg((F.col("status") != 503).cast("double")).alias("availability"))
+    return g.join(q, "period", "left").withColumns({
+        "p95_ok": F.col("p95_ms") < p95_ms, "p99_ok": F.col("p99_ms") < p99_ms, "error_ok": F.col("error_rate") < error_rate,
+        "available_ok": F.col("availability") >= availability})
+
+
 # ---------------------------------------------------------------- R15-R18, R21
 # Alert rules (metric, operator, bound, values from there on are another rule's, severity, channel)
 ALERT_RULES = [
@@ -398,18 +411,26 @@ def amplification(df: DataFrame, group: str, threshold: float = 0.5) -> DataFram
 
 def campaign_monitor(log: DataFrame, period: str = "week", min_conversion: float = 0.40,
                      max_cost_per_retained: float = 75.0, offer_cost: float = 50.0,
-                     fp_unit: float = 73.52, fn_unit: float = 2845.0) -> DataFrame:
+                     fp_unit: float = 73.52, fn_unit: float = 2845.0, baseline_cost: float | None = None,
+                     tolerance: float = 0.15) -> DataFrame:
     """Per period: contacts, conversions, conversion rate, cost per
     retained customer, FP and FN money; rule flags.  Input: (ts, contacted,
-    converted, fp, fn) flags per customer-event."""
+    converted, fp, fn) flags per customer-event.  The total cost must stay
+    within ``tolerance`` of ``baseline_cost`` (default: the first period's)."""
     g = log.groupBy(F.date_trunc(period, "ts").alias("period")).agg(
         F.sum("contacted").cast("bigint").alias("contacted"), F.sum("converted").cast("bigint").alias("converted"),
         (F.sum("fp") * fp_unit).alias("fp_cost"), (F.sum("fn") * fn_unit).alias("fn_cost"))
     conv = _div0(F.col("converted"), F.col("contacted"))
     cpr = F.try_divide(F.col("contacted") * offer_cost, F.col("converted"))
+    total = F.col("fp_cost") + F.col("fn_cost")
+    # one row a period: a small window
+    base = F.lit(baseline_cost) if baseline_cost is not None else F.first(total).over(
+        Window.partitionBy(F.lit(0)).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return g.withColumns({"conversion": conv, "cost_per_retained": cpr,
                           "conversion_ok": conv >= min_conversion,
-                          "cost_ok": F.coalesce(cpr <= max_cost_per_retained, F.lit(False))})
+                          "cost_ok": F.coalesce(cpr <= max_cost_per_retained, F.lit(False)),
+                          "cost_change": F.try_divide(total, base) - 1}).withColumn(
+        "cost_within", F.coalesce(F.abs("cost_change") <= tolerance, F.lit(False)))
 
 
 def conversion_by_action(df: DataFrame, action: str = "action", converted: str = "converted") -> DataFrame:

@@ -151,15 +151,16 @@ sw AS (SELECT model, threshold,
   count(*) FILTER (WHERE score >= threshold AND label = 1) AS tp,
   count(*) FILTER (WHERE score >= threshold AND label = 0) AS fp,
   count(*) FILTER (WHERE score < threshold AND label = 1) AS fn FROM vc, grid GROUP BY model, threshold),
-pk AS (SELECT model, arg_max(tp, threshold) AS tp, arg_max(fp, threshold) AS fp FROM sw
-       WHERE coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) >= 0.7 GROUP BY model),
+pk AS (SELECT model, r, arg_max(tp, threshold) AS tp, arg_max(fp, threshold) AS fp FROM sw, (VALUES (0.7), (0.9)) t(r)
+       WHERE coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) >= r GROUP BY model, r),
 bs AS (SELECT model, count(*) AS n, sum(label) AS P, sum(CASE WHEN label = 1 THEN fn_cost ELSE 0.0 END) AS V FROM vc GROUP BY model),
-j AS (SELECT bs.*, pk.tp, pk.fp, V / P AS mv FROM bs LEFT JOIN pk USING (model)),
-st AS (SELECT model, 'no_action' AS strategy, 0.0::DOUBLE AS contacted, 0.0::DOUBLE AS retained, mv, P FROM j
-       UNION ALL SELECT model, 'contact_all', CAST(n AS DOUBLE), P * 0.5, mv, P FROM j
-       UNION ALL SELECT model, 'model_recall_0.7', CAST(tp + fp AS DOUBLE), tp * 0.5, mv, P FROM j)""",
-  Q.round_cols("""SELECT model, strategy, contacted, retained, retained * mv AS value_saved,
-  contacted * 0.5 * 73.52 AS offer_cost, retained * mv - contacted * 0.5 * 73.52 AS net, (P - retained) * mv AS value_lost FROM st""",
+j AS (SELECT bs.*, V / P AS mv FROM bs),
+st AS (SELECT model, 'no_action' AS strategy, 0.0::DOUBLE AS alerts, 0.0::DOUBLE AS contacted, 0.0::DOUBLE AS retained, 0.0::DOUBLE AS offer_cost, mv, P, V FROM j
+       UNION ALL SELECT model, 'contact_all', CAST(n AS DOUBLE), CAST(n - P AS DOUBLE), CAST(P AS DOUBLE), (n - P) * 73.52, mv, P, V FROM j
+       UNION ALL SELECT model, CASE WHEN r = 0.7 THEN 'model_recall_0.7' ELSE 'model_recall_0.9' END, CAST(tp + fp AS DOUBLE), CAST(tp AS DOUBLE), tp * 0.5,
+                        tp * 0.5 * 73.52, mv, P, V FROM j JOIN pk USING (model))""",
+  Q.round_cols("""SELECT model, strategy, alerts, contacted, retained, retained * mv AS value_saved, offer_cost,
+  CASE WHEN strategy = 'no_action' THEN -V ELSE retained * mv - offer_cost END AS net, (P - retained) * mv AS value_lost FROM st""",
                _B12)))(
     lambda spark, d: rounded(B.strategy_compare(vendor_costed(spark, d)), _B12))
 

@@ -10,6 +10,7 @@ from churnspark.operators import evaluate as A
 from churnspark.operators.prefix import Grid
 from churnspark.plans import sql as Q
 from churnspark.plans.registry import query
+from churnspark.session import cut_lineage
 from churnspark.sources.tables import scores
 
 R6 = 6
@@ -331,6 +332,23 @@ def a25_release_gate(spark, d):
     return A.release_gate(_metrics_half(spark, d)).select("model", "failed_rules")
 
 
+@query("a25_release_decision", Q.with_(FULL_AT_HALF + """,
+mf AS (SELECT m.*, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1 FROM m JOIN c USING (model)),
+old AS (SELECT roc_auc AS old_auc, f1 AS old_f1 FROM mf WHERE model = 'lineitem'),
+x AS (SELECT mf.*, old.*, round(roc_auc - old_auc, 9) >= 0.005 OR round(f1 - old_f1, 9) >= 0.01 AS improves,
+  list_filter([CASE WHEN coalesce(roc_auc < 0.8, true) THEN 'roc_auc < 0.8' END, CASE WHEN coalesce(recall < 0.5, true) THEN 'recall < 0.5' END],
+              lambda x: x IS NOT NULL) AS reject_rules,
+  coalesce(recall >= 0.7, false) AND coalesce(roc_auc >= 0.8, false) AND coalesce(business_value >= 1000000.0, false) AS passed FROM mf, old)""",
+  """SELECT model, reject_rules, passed, improves,
+  CASE WHEN len(reject_rules) > 0 THEN 'reject' WHEN passed AND improves THEN 'promote' ELSE 'hold' END AS decision FROM x"""))
+def a25_release_decision(spark, d):
+    """Automatic rejection, the required minimum and the improvement over
+    the model in use (here: the lineitem scores), with a value bound of its own."""
+    m = cut_lineage(A.full_metrics(scores(spark, d), 0.5))
+    rules = [r for r in A.RELEASE_RULES if r[0] != "business_value"] + [("business_value", ">=", 1_000_000.0)]
+    return A.release_decision(m, m.where("model = 'lineitem'"), rules).select("model", "reject_rules", "passed", "improves", "decision")
+
+
 @query("a27_recalibrate", Q.with_(sweep_sql(percent_grid(*S.THRESHOLD_GRID)) + """,
 w AS (SELECT *, 0.2654 * (tp + fn + tn + fp) / (tp + fn) AS w1, (1 - 0.2654) * (tp + fn + tn + fp) / (tn + fp) AS w0 FROM sw),
 rw AS (SELECT model, threshold, tp * w1 AS tp, fn * w1 AS fn, fp * w0 AS fp, tn * w0 AS tn FROM w),

@@ -239,6 +239,16 @@ rn AS (SELECT ts AS start_ts, value * 60 AS duration_s, event_type <> 'error' AS
     lambda spark, d: rounded(R.job_slo(runs(spark, d)), ["on_time_rate", "success_rate", "p95_duration_s"]))
 
 
+_SLO = ["p95_ms", "p99_ms", "error_rate", "availability"]
+query("r26_service_slo", Q.with_(EV, Q.round_cols("""SELECT date_trunc('day', ts) AS period, CAST(count(*) AS BIGINT) AS requests,
+  avg(CAST(status >= 500 AS DOUBLE)) AS error_rate, avg(CAST(status <> 503 AS DOUBLE)) AS availability,
+  quantile_cont(elapsed_ms, 0.95) AS p95_ms, quantile_cont(elapsed_ms, 0.99) AS p99_ms,
+  quantile_cont(elapsed_ms, 0.95) < 200 AS p95_ok, quantile_cont(elapsed_ms, 0.99) < 500 AS p99_ok,
+  avg(CAST(status >= 500 AS DOUBLE)) < 0.001 AS error_ok, avg(CAST(status <> 503 AS DOUBLE)) >= 0.999 AS available_ok
+FROM lg GROUP BY 1""", _SLO)))(
+    lambda spark, d: rounded(R.service_slo(log(spark, d), "day"), _SLO))
+
+
 # ------------------------------------------------------------------ R15-R18, R21
 def _day_metrics(spark, d):
     er = R.error_rates(log(spark, d)).select("window_start", F.lit("error_rate_5xx").alias("metric"),
@@ -348,15 +358,17 @@ g AS (SELECT date_trunc('week', ts) AS period, CAST(sum(contacted) AS BIGINT) AS
   Q.round_cols("""SELECT *, coalesce(converted / nullif(contacted, 0), 0.0) AS conversion,
   contacted * 50.0::DOUBLE / nullif(converted, 0) AS cost_per_retained,
   coalesce(converted / nullif(contacted, 0), 0.0) >= 0.4 AS conversion_ok,
-  coalesce(contacted * 50.0 / nullif(converted, 0) <= 75.0, false) AS cost_ok FROM g""",
-               ["fp_cost", "fn_cost", "conversion", "cost_per_retained"])))
+  coalesce(contacted * 50.0 / nullif(converted, 0) <= 75.0, false) AS cost_ok,
+  (fp_cost + fn_cost) / first_value(fp_cost + fn_cost) OVER (ORDER BY period) - 1 AS cost_change,
+  abs((fp_cost + fn_cost) / first_value(fp_cost + fn_cost) OVER (ORDER BY period) - 1) <= 0.15 AS cost_within FROM g""",
+               ["fp_cost", "fn_cost", "conversion", "cost_per_retained", "cost_change"])))
 def r20_campaign_monitor(spark, d):
     e = events(spark, d)
     t = F.col("event_type")
     cl = e.select("ts", t.isin("view", "click").cast("int").alias("contacted"),
                   (t == "purchase").cast("int").alias("converted"), (t == "click").cast("int").alias("fp"),
                   (t == "error").cast("int").alias("fn"))
-    return rounded(R.campaign_monitor(cl), ["fp_cost", "fn_cost", "conversion", "cost_per_retained"])
+    return rounded(R.campaign_monitor(cl), ["fp_cost", "fn_cost", "conversion", "cost_per_retained", "cost_change"])
 
 
 @query("r22_rejection_profile", Q.with_(Q.SNAPSHOT + """,

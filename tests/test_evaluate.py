@@ -74,3 +74,30 @@ def test_top_lift_brute_force(spark):
     k = 30
     top = sorted(data, key=lambda r: (-r[2], r[0]))[:k]
     assert got.k == k and got.top_positives == sum(y for _, y, _ in top)
+
+
+def test_point_metrics_equal_the_separate_ones(spark):
+    import random
+    r = random.Random(2)
+    rows = [(m, r.choice([0.1, 0.3, 0.5, 0.5, 0.9, None]), r.randint(0, 1)) for m in "ab" for _ in range(300)] + [("one", 0.4, 1)]
+    df = spark.createDataFrame(rows, "model string, score double, label int")
+    got = {x.model: x for x in A.point_metrics(df, 0.5).collect()}
+    conf = {x.model: x for x in A.confusion(df.where("score is not null"), 0.5).collect()}
+    auc = {x.model: x.roc_auc for x in A.roc_auc(df).collect()}
+    ap = {x.model: x.average_precision for x in A.average_precision(df).collect()}
+    assert set(got) == set(conf) == {"a", "b", "one"}
+    for m, x in got.items():
+        assert [x[c] for c in ("tp", "fp", "tn", "fn")] == [conf[m][c] for c in ("tp", "fp", "tn", "fn")]
+        assert x.roc_auc == auc[m] and x.average_precision == ap[m]
+    assert got["one"].roc_auc is None
+
+
+def test_release_decision(spark):
+    rows = [("good", 0.70, 0.85, 0.6, 1e6), ("same", 0.70, 0.849, 0.595, 1e6), ("weak", 0.60, 0.90, 0.7, 1e6), ("bad", 0.90, 0.79, 0.9, 1e6),
+            ("none", None, 0.9, 0.9, 1e6)]
+    df = spark.createDataFrame(rows, "model string, recall double, roc_auc double, f1 double, business_value double")
+    old = spark.createDataFrame([(0.845, 0.595)], "roc_auc double, f1 double")
+    got = {r.model: (r.decision, r.improves) for r in A.release_decision(df, old).collect()}
+    assert got == {"good": ("promote", True), "same": ("hold", False), "weak": ("hold", True), "bad": ("reject", True), "none": ("reject", True)}
+    first = {r.model: (r.decision, r.improves) for r in A.release_decision(df).collect()}
+    assert first["same"] == ("promote", None) and first["weak"] == ("hold", None)
