@@ -1,6 +1,7 @@
 """Registered queries: Structured Streaming jobs run over all available
 input (availableNow) into the shared checkpoint folder; the written table is
-returned.  Aggregations run in complete mode and must equal the batch SQL."""
+returned.  All must equal the batch SQL: aggregations emit updates, of which
+the last counts; sessions, joins and runs are fed in order of time."""
 
 from __future__ import annotations
 
@@ -26,12 +27,17 @@ def _none_late(df):
     return df
 
 
+def load_of(ts: str, days: int = 6):
+    """The number of the ``days`` that a time falls in: the loads of ``run_in_order``."""
+    return F.floor(F.unix_seconds(F.col(ts)) / (days * 86400)).cast("long")
+
+
 @query("stream_error_rates", Q.with_(EV, Q.round_cols(f"SELECT * FROM ({ERR})", ["rate_4xx", "rate_5xx"])))
 def stream_error_rates(spark, d):
     """R12 as a watermarked streaming aggregation over the event stream."""
-    s = ST.run_available(ST.error_rates_stream(ST.request_log_stream(ST.events_stream(spark, d))),
-                         "error_rates", mode="complete")
-    return rounded(_ntz(s, "window_start"), ["rate_4xx", "rate_5xx"])
+    s = ST.run_available(ST.error_rates_stream(ST.request_log_stream(ST.events_stream(spark, d, None))),
+                         "error_rates", mode="update")
+    return rounded(_ntz(ST.latest_versions(_none_late(s), ["window_start"]), "window_start"), ["rate_4xx", "rate_5xx"])
 
 
 @query("stream_sessions", Q.with_(EV + """,
@@ -42,30 +48,28 @@ sn AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM gp
   """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS n_events
 FROM sn GROUP BY user_id, sid"""))
 def stream_sessions(spark, d):
-    """R23 on a stream: session windows per customer (watermark wide enough
-    that no row of the file is late)."""
-    s = ST.run_available(ST.sessions_stream(ST.events_stream(spark, d), watermark="3650 days"), "sessions",
-                         mode="complete")
-    return _ntz(s, "session_start", "session_end")
+    """R23 on a stream: session windows per customer, each emitted once, when the
+    watermark of two hours has passed it."""
+    s = ST.run_in_order(ST.with_cast_ts(events(spark, d).select("user_id", "ts")), load_of("ts"), ST.sessions_stream, "sessions", end="1 DAY")
+    return _ntz(_none_late(s).where(F.col("user_id").isNotNull()), "session_start", "session_end")
 
 
 @query("stream_positive_rate", Q.with_(EV, Q.round_cols("""SELECT time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS window_start,
   CAST(count(*) AS BIGINT) AS n, avg(CAST(prediction AS DOUBLE)) AS positive_rate FROM pr GROUP BY 1""", ["positive_rate"])))
 def stream_positive_rate(spark, d):
     """R6 on a stream."""
-    e = ST.events_stream(spark, d).where(F.col("event_type") == "view")
+    e = ST.events_stream(spark, d, None).where(F.col("event_type") == "view")
     sc = F.col("value") / (F.col("value") + 50.0)
     p = e.select("ts", (sc >= 0.5).cast("int").alias("prediction"))
-    s = ST.run_available(ST.positive_rate_stream(p), "positive_rate", mode="complete")
-    return rounded(_ntz(s, "window_start"), ["positive_rate"])
+    s = ST.run_available(ST.positive_rate_stream(p), "positive_rate", mode="update")
+    return rounded(_ntz(ST.latest_versions(_none_late(s), ["window_start"]), "window_start"), ["positive_rate"])
 
 
 @query("stream_latency")
 def stream_latency(spark, d):
     """R11 on a stream (approximate percentiles from a bounded sketch)."""
-    s = ST.run_available(ST.latency_stream(ST.request_log_stream(ST.events_stream(spark, d))), "latency",
-                         mode="complete")
-    return s
+    s = ST.run_available(ST.latency_stream(ST.request_log_stream(ST.events_stream(spark, d, None))), "latency", mode="update")
+    return ST.latest_versions(_none_late(s), ["window_start"])
 
 
 @query("stream_failure_runs", Q.with_(EV + """,
@@ -75,23 +79,24 @@ fr_is AS (SELECT *, sum(oks) OVER (PARTITION BY host ORDER BY ts) AS island FROM
   """SELECT host, min(ts) AS run_start, max(ts) AS run_end, CAST(sum(fails) AS BIGINT) AS n_failures
 FROM fr_is WHERE oks = 0 GROUP BY host, island HAVING sum(fails) >= 3"""))
 def stream_failure_runs(spark, d):
-    """R14 on a stream: stateful per-host runs of 503s.  The table is not in
-    time order from file to file, so the watermark waits for all of it."""
-    ev = ST.events_stream(spark, d, max_files=None)
-    runs = ST.latest_runs(_none_late(ST.run_available(
-        ST.failure_runs_stream(ST.request_log_stream(ev), 3, watermark="0 seconds"), "failure_runs", mode="update")))
+    """R14 on a stream: stateful per-host runs of 503s, fed in order of time."""
+    rows = ST.with_cast_ts(events(spark, d))
+    runs = ST.latest_runs(_none_late(ST.run_in_order(
+        rows, load_of("ts"), lambda ev: ST.failure_runs_stream(ST.request_log_stream(ev), 3, watermark="0 seconds"),
+        "failure_runs", "update")))
     return _ntz(runs, "run_start", "run_end")
 
 
 @query("stream_outcome_join", Q.with_(OUTCOME, "SELECT pred_id, user_id, ts, outcome, next_event_ts FROM jo"))
 def stream_outcome_join(spark, d):
     """R8 on streams: stream-stream interval join (7 days), closed at the
-    latest outcome to one row per prediction.  All files are read in one
-    trigger, as they are not in time order."""
-    ev = ST.events_stream(spark, d, max_files=None)
-    p = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("pred_id"), "user_id", "ts")
-    o = ev.where(F.col("event_type") == "purchase").select("user_id", "ts")
-    hits = _none_late(ST.run_available(ST.outcome_join_stream(p, o, H), "outcome_join"))
+    latest outcome to one row per prediction, fed in order of time."""
+    def build(ev):
+        p = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("pred_id"), "user_id", "ts")
+        return ST.outcome_join_stream(p, ev.where(F.col("event_type") == "purchase").select("user_id", "ts"), H)
+
+    rows = ST.with_cast_ts(events(spark, d).select("event_id", "user_id", "ts", "event_type"))
+    hits = _none_late(ST.run_in_order(rows, load_of("ts"), build, "outcome_join"))
     return ST.outcome_from_hits(preds(spark, d), _ntz(hits, "o_ts"), outcomes(spark, d), H)
 
 

@@ -77,17 +77,18 @@ class LateRows(StreamingQueryListener):
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append",
-                  sink: Callable | None = None) -> DataFrame:
+                  sink: Callable | None = None, base: str | None = None) -> DataFrame:
     """Run a streaming frame over all available input (availableNow) into a
     parquet table in the shared checkpoint folder; return that table.
 
     ``sink`` (a foreachBatch function taking (batch_df, batch_id, out_dir))
     replaces the default parquet sink.  Update mode writes each batch's rows
-    to its own folder, so a replayed batch is harmless."""
+    to its own folder, so a replayed batch is harmless.  ``base``: the folder of
+    an earlier run of the same query, which this one goes on with."""
     spark = df.sparkSession
-    base = _work_dir(spark, name)
+    base = base or _work_dir(spark, name)
     out, ck = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    run_name = os.path.basename(base)
+    run_name = f"{os.path.basename(base)}-{uuid.uuid4().hex[:6]}"
     w = df.writeStream.queryName(run_name).option("checkpointLocation", ck).trigger(availableNow=True)
     late = LateRows(run_name)
     spark.streams.addListener(late)
@@ -175,13 +176,54 @@ def split_late(feed: DataFrame, out_dir: str, checkpoint: str, key: str, ts: str
             .option("checkpointLocation", checkpoint).foreachBatch(per_batch))
 
 
-def in_loads(arrivals: DataFrame, load: str, path: str, after_each: Callable[[], None]) -> None:
+def run_in_order(rows: DataFrame, load, build: Callable[[DataFrame], DataFrame], name: str, mode: str = "append",
+                 ts: str = "ts", end: str | None = None) -> DataFrame:
+    """Run the stream ``build`` makes of a table that is not in time order: the
+    table is dealt into loads by ``load`` (a column that rises with ``ts``, say its
+    day), and the query is started once for each, in order, going on from its
+    checkpoint.  So the watermark follows the data and the state holds one
+    load and one delay, not the whole table.  ``end``: an interval after which a
+    last row, null but for its time, comes by itself: it moves the watermark
+    past all that is still open.  The result is as of ``run_available``."""
+    spark = rows.sparkSession
+    base = _work_dir(spark, name)
+    feed, late, out = os.path.join(base, "feed"), 0, None
+
+    def each():
+        nonlocal late, out
+        out = run_available(build(spark.readStream.schema(rows.schema).parquet(feed)), name, mode, base=base)
+        late += out._late_rows
+
+    in_loads(rows, load, feed, each)
+    if end is not None and out is not None:
+        beat = rows.agg((F.max(ts) + F.expr(f"INTERVAL {end}")).alias(ts))  # one row
+        beat.select(*[F.col(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+                    ).write.mode("append").parquet(feed)
+        each()
+    if out is None:
+        out = run_available(build(spark.readStream.schema(rows.schema).parquet(_empty(rows, feed))), name, mode, base=base)
+    out._late_rows = late
+    return out
+
+
+def _empty(rows: DataFrame, path: str) -> str:
+    rows.limit(0).write.mode("append").parquet(path)
+    return path
+
+
+def latest_versions(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last version of each row that an update-mode run wrote (by ``batch_id``)."""
+    rest = [c for c in versions.columns if c not in (*keys, "batch_id")]
+    return versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("v")).select(*keys, "v.*")
+
+
+def in_loads(arrivals: DataFrame, load, path: str, after_each: Callable[[], None]) -> None:
     """Deliver a table as a file feed, out of time order: the rows of each value
-    of ``load``, in its order, are added to ``path``, and ``after_each`` runs
+    of ``load`` (a column or its name), in its order, are added to ``path``, and ``after_each`` runs
     what reads them, as a job does that starts anew for every delivery.  The
     loads are few (one a night, say); the table is dealt to them in one pass."""
     stage = f"{path}-stage-{uuid.uuid4().hex[:8]}"
-    arrivals.withColumn("_load", F.col(load)).write.partitionBy("_load").parquet(stage)
+    arrivals.withColumn("_load", F.col(load) if isinstance(load, str) else load).write.partitionBy("_load").parquet(stage)
     rows = arrivals.sparkSession.read.parquet(stage)
     for r in rows.select("_load").distinct().orderBy("_load").collect():
         rows.where(F.col("_load") == r[0]).drop("_load").write.mode("append").parquet(path)
