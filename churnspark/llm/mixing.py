@@ -7,12 +7,13 @@ document with rate r adds ``r * tokens * posterior`` to each domain's expected
 tokens, and projected gradient descent on the least-squares distance to the
 targets (with a weak pull of every rate towards its bound) fits rates >= 0.
 
-Features are binned, so documents fall into a bounded number of *cells* (the
-product of the bins, ``CELLS`` at most); a cell's documents share posterior and
-rate.  One aggregation turns the corpus into the table of cells; the gradient
-steps run over it, many in one small job, until the targets are met.  A rate is a
-function of its cell alone, so documents get theirs by a broadcast of at most
-``CELLS`` rows, and texts are never shuffled.  DataFrame functions only.
+Features are binned, so documents fall into *cells*; a cell's documents share
+posterior and gradient, and so their rate.  One aggregation turns the corpus
+into the table of cells, whose size follows the bins (a few thousand for three
+domains, threefold for each more), not the corpus.  The gradient steps are jobs
+over its rows.  Documents get their rates by a join with the cells, which are
+broadcast up to ``SENT_CELLS`` rows only; beyond that the rows meet
+them by a shuffle.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -120,82 +121,90 @@ def _posteriors(cells: DataFrame, labelled: DataFrame, domains: list[str]) -> Da
         e, F.lit(0.0), lambda a, b: a + b))).alias("posterior"))
 
 
+#: Cells up to which their table is sent to all tasks; beyond it the rows are joined by a shuffle.
+SENT_CELLS = 100_000
+
+
 def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]], targets: dict[str, float],
             most: float = 1.0, rounds: int = 200, pull: float = 3e-4, least_pull: float = 1e-8,
-            tolerance: float = 0.01) -> Mix:
-    """Rates in [0, most] by accelerated projected gradient descent.
+            tolerance: float = 0.01, written_every: int = 8) -> Mix:
+    """Rates in [0, most] by projected gradient descent on least squares.
 
-    ``cells``: ``_cell, tokens`` (all documents); ``labelled``: ``_cell,
+    ``cells``: ``_cell, tokens`` (all documents; those of a cell have equal
+    posteriors, so equal gradients and rates); ``labelled``: ``_cell,
     _domain``; ``targets``: the domains' weights.  The distance is that of the
     domains' expected tokens, each over its target, to their common mean, so a
-    rare domain counts as much as any; the pull is towards ``most``.  All cells
-    are one row of arrays, and a job does ``rounds`` steps on it.  It ends when
-    every domain's share is within ``tolerance`` of its target (relative);
-    until then the pull shrinks, and at its least the descent goes on as long
-    as a job still lessens the error (targets that no mix can reach).
-    The rates are then as large as their bound allows.
+    rare domain counts as much as any; the pull is towards ``most``.
+
+    The cells stay rows of a table.  A round is one job, which sums a few numbers
+    over the projected step of all cells, and one map: the distance is quadratic
+    along the step, so the sums tell its best length (and the next step's
+    scale, by Barzilai and Borwein).  Every ``written_every`` rounds the table is
+    written.  The descent ends when every domain's share is within ``tolerance``
+    of its target (relative).  Where it stands still before, the pull shrinks;
+    with the least pull it ends (targets that no mix can reach), as it does
+    after ``rounds`` rounds.  The rates are then as large as their bound allows.
+
+    A target of 0 is a domain to leave out: cells that most likely are of it get
+    rate 0, and the shares are those among the other domains.  Weights must not
+    be negative, and one at least positive.
     """
     domains = list(targets)
-    k = len(domains)
+    if min(targets.values()) < 0 or not any(targets.values()):
+        raise ValueError("target weights must not be negative, and not all zero")
     posts = _posteriors(cells, labelled, domains)
     whole = cells.agg(F.sum("tokens").alias("t")).first().t or 0
-    p = F.col("posterior")
-    t = written(cells.join(posts, "_cell").select("_cell", p, (F.col("tokens") / max(whole, 1)).alias("w")), "mix-cells")
-    goal = [max(x / sum(targets.values()), 1e-4) for x in targets.values()]
-    bent = t.agg(*[F.coalesce(F.sum(F.col("w") * p[i] * p[i]), F.lit(0.0)) for i in range(k)]).first()
-    bend = sum(x / g ** 2 for x, g in zip(bent, goal)) or 1.0  # bounds the distance's curvature
-
-    def total(x: Column, term) -> Column:
-        return F.aggregate(x, F.lit(0.0), lambda s, c: s + term(c))
-
-    def totals(x: Column, rate: str) -> Column:
-        return F.aggregate(x, F.array(*[F.lit(0.0)] * k), lambda s, c: F.array(*[
-            s[i] + c["w"] * c[rate] * c["posterior"][i] for i in range(k)]))
-
-    def go(state: Column, pull: float) -> Column:
-        def stepped(scaled: Column) -> Column:
-            mean = sum((scaled[i] for i in range(1, k)), scaled[0]) / k
-            force = F.array(*[(scaled[i] - mean) / (g * bend) for i, g in enumerate(goal)])
-            return let(force, lambda f: F.transform(state["all"], lambda c: F.struct(
-                c["_cell"].alias("_cell"), c["posterior"].alias("posterior"), c["w"].alias("w"),
-                F.least(F.greatest(c["ahead"] - (sum((c["posterior"][i] * f[i] for i in range(1, k)), c["posterior"][0] * f[0])
-                                                 + pull * (c["ahead"] - most)) / (1 + pull), F.lit(0.0)), F.lit(float(most))).alias("rate"),
-                c["rate"].alias("before"), c["ahead"].alias("ahead"))))
-
-        def moved(x: Column) -> Column:
-            # the momentum starts anew where it points uphill
-            uphill = total(x, lambda c: c["w"] * (c["ahead"] - c["rate"]) * (c["rate"] - c["before"])) > 0
-            speed = F.when(uphill, F.lit(1.0)).otherwise(state["speed"])
-            return let(speed, lambda v: let((1 + F.sqrt(1 + 4 * v * v)) / 2, lambda faster: F.struct(
-                F.transform(x, lambda c: F.struct(
-                    c["_cell"].alias("_cell"), c["posterior"].alias("posterior"), c["w"].alias("w"), c["rate"].alias("rate"),
-                    (c["rate"] + (v - 1) / faster * (c["rate"] - c["before"])).alias("ahead"))).alias("all"),
-                faster.alias("speed"))))
-
-        scaled = let(totals(state["all"], "ahead"), lambda s: F.array(*[s[i] / g for i, g in enumerate(goal)]))
-        return let(let(scaled, stepped), moved)
-
-    full = F.lit(float(most))
-    now = written(t.agg(F.sort_array(F.collect_list(F.struct(
-        "_cell", "posterior", "w", full.alias("rate"), full.alias("ahead")))).alias("all")).select(
-            F.struct("all", F.lit(1.0).alias("speed")).alias("state")), "mix-state")
-    before = None
-    while True:
-        sums = now.select(totals(F.col("state.all"), "rate").alias("s")).first().s
-        error = max(abs(x / (sum(sums) or 1.0) - g) / g for x, g in zip(sums, goal))
-        if error <= tolerance or not any(sums):
+    use = [i for i, d in enumerate(domains) if targets[d] > 0]
+    goal = [targets[domains[i]] / sum(targets.values()) for i in use]
+    p, full = F.col("posterior"), F.lit(float(most))
+    out = [i for i in range(len(domains)) if i not in use]
+    free = ~F.array_position(p, F.array_max(p)).isin([i + 1 for i in out]) if out else F.lit(True)
+    state = written(cells.join(posts, "_cell").select("_cell", p, (F.col("tokens") / max(whole, 1)).alias("w"), free.alias("free"))
+                    .withColumn("rate", F.when(F.col("free"), full).otherwise(F.lit(0.0))), "mix-cells")
+    w, rate = F.col("w"), F.col("rate")
+
+    def force(sums: list[float]) -> list[float]:
+        scaled = [x / g for x, g in zip(sums, goal)]
+        mean = sum(scaled) / len(scaled)
+        return [(x - mean) / g for x, g in zip(scaled, goal)]
+
+    def direction(f: list[float], scale: float) -> Column:
+        slope = sum((p[i] * x for i, x in zip(use[1:], f[1:])), p[use[0]] * f[0]) + pull * (rate - most)
+        return F.when(F.col("free"), F.least(F.greatest(rate - scale * slope, F.lit(0.0)), full) - rate).otherwise(F.lit(0.0))
+
+    def summed(*terms: Column) -> list[float]:
+        return [x or 0.0 for x in state.agg(*[F.sum(t).alias(f"s{i}") for i, t in enumerate(terms)]).first()]
+
+    k = len(use)
+    got = summed(*[w * rate * p[i] for i in use], *[w * p[i] * p[i] for i in use])
+    sums, bent = got[:k], got[k:]
+    scale = 1 / (sum(x / g ** 2 for x, g in zip(bent, goal)) or 1.0)
+    still = 0
+    for r in range(1, rounds + 1):
+        if not any(sums) or max(abs(x / sum(sums) - g) / g for x, g in zip(sums, goal)) <= tolerance:
             break
-        if before is not None:
-            if pull <= least_pull and error > 0.99 * before:
+        if still >= 3:
+            if pull <= least_pull:
                 break
-            pull = max(pull / 4, least_pull)
-        before = error
-        now = written(now.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.col("state"), lambda s, _: go(s, pull)).alias("state")),
-                      "mix-state")
-    top = F.greatest(F.array_max(F.transform(F.filter("state.all", lambda c: c["w"] > 0), lambda c: c["rate"])), F.lit(1e-300))
-    rates = written(now.select(top.alias("top"), F.explode("state.all").alias("c")).select(
-        "c._cell", "c.posterior", F.least(F.col("c.rate") * (most / F.col("top")), full).alias("rate")), "mix-rates")
-    return Mix(domains, markers, rates)
+            pull, still = max(pull / 8, least_pull), 0
+        f = force(sums)
+        d = direction(f, scale)
+        *gain, drag, size = summed(*[w * p[i] * d for i in use], w * (rate - most) * d, w * d * d)
+        change = [b - a for a, b in zip(f, force([x + y for x, y in zip(sums, gain)]))]
+        falls = sum(a * b for a, b in zip(f, gain)) + pull * drag
+        bends = sum(a * b for a, b in zip(change, gain)) + pull * size
+        length = min(max(-falls / bends, 0.0), 1.0) if bends > 0 else 1.0
+        state = state.withColumn("rate", rate + length * d)
+        if r % written_every == 0:
+            state = written(state, "mix-cells")
+        before = max(abs(x / sum(sums) - g) / g for x, g in zip(sums, goal))
+        sums = [x + length * y for x, y in zip(sums, gain)]
+        now = max(abs(x / (sum(sums) or 1.0) - g) / g for x, g in zip(sums, goal))
+        still = still + 1 if now > 0.98 * before else 0
+        scale = size / bends if bends > 0 and size > 0 else scale
+    top = state.where("w > 0").agg(F.max("rate").alias("top")).first().top or 1e-300
+    rates = written(state.select("_cell", "posterior", F.least(rate * (most / max(top, 1e-300)), full).alias("rate")), "mix-rates")
+    return Mix(domains, markers, rates if rates.count() > SENT_CELLS else F.broadcast(rates))
 
 
 def _fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str, text_col: str,
@@ -229,7 +238,7 @@ def mix_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_
     ignored.
     """
     mix, rows = _fit(docs, labels, targets, id_col, text_col, sample_rows)
-    return rows.join(F.broadcast(mix.cells), "_cell").select(
+    return rows.join(mix.cells, "_cell").select(
         F.col("_doc").alias(id_col), F.col("_tokens").alias("tokens"), "posterior", "rate",
         _copies(F.col("rate"), F.col("_key")).alias("copies"))
 
@@ -238,6 +247,6 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
         text_col: str = "text", sample_rows: int = 4000) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with the columns of ``docs``."""
     fitted = _fit(docs, labels, targets, id_col, text_col, sample_rows)[0]
-    rated = with_cells(docs, text_col, fitted.markers).join(F.broadcast(fitted.cells.select("_cell", "rate")), "_cell")
+    rated = with_cells(docs, text_col, fitted.markers).join(fitted.cells.drop("posterior"), "_cell")
     n = _copies(F.col("rate"), F.xxhash64(F.col(id_col), F.col(text_col)))
     return rated.withColumn("_copy", F.explode(F.sequence(F.lit(0), n))).where("_copy > 0").select(*docs.columns)

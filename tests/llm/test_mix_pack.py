@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -141,6 +142,37 @@ def test_mixing_meets_rare_and_scarce_targets(spark):
     assert fitted((1000, 0), {"a": 0.5, "b": 0.5})[1][0] == 1.0  # nothing of b: a is not held back
 
 
+def test_a_zero_target_leaves_its_domain_out(spark):
+    rows = [(i, ("alpha beta " if i % 3 == 0 else "gamma delta " if i % 3 == 1 else "eta theta ") * (5 + i % 7)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(300)], "doc_id long, domain string")
+    got = {r.doc_id: r for r in mixing.mix_rates(docs, labels, {"a": 0.3, "b": 0.7, "c": 0.0}).collect()}
+    assert all(r.rate == 0 and r.copies == 0 for i, r in got.items() if i % 3 == 2)
+    mass = np.array([sum(r.tokens * r.rate * r.posterior[k] for r in got.values()) for k in (0, 1)])
+    assert np.abs(mass / mass.sum() / [0.3, 0.7] - 1).max() <= 0.01 and max(r.rate for r in got.values()) == 1.0
+    only = mixing.mix_rates(docs, labels, {"a": 1, "b": 0, "c": 0}).collect()
+    assert all((r.rate == 1) == (r.doc_id % 3 == 0) for r in only)
+    for bad in ({"a": 0.0, "b": 0.0}, {"a": 1.0, "b": -0.5}):
+        with pytest.raises(ValueError, match="target weights"):
+            mixing.mix_rates(docs, labels, bad)
+
+
+@pytest.mark.parametrize("sent", [100_000, 3])
+def test_ten_domains_and_cells_that_are_not_broadcast(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "SENT_CELLS", sent)
+    names = [f"d{i}" for i in range(10)]
+    rows = [(i, f"w{i % 10}x w{i % 10}y " * (4 + i % 5)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, names[i % 10]) for i in range(600)], "doc_id long, domain string")
+    want = dict(zip(names, [0.19, 0.01, 0.1, 0.1, 0.1, 0.1, 0.1, 0.1, 0.15, 0.05]))
+    got = mixing.mix_rates(docs, labels, want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (sent > 3)
+    got = got.collect()
+    mass = np.array([sum(r.tokens * r.rate * r.posterior[k] for r in got) for k in range(10)])
+    assert np.abs(mass / mass.sum() / list(want.values()) - 1).max() <= 0.011
+
+
 def test_pipeline_against_brute_force(spark):
     from churnspark.llm import quality_net
     from .test_texts import brute_components, brute_spans
