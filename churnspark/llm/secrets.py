@@ -32,24 +32,37 @@ RUN = r"[A-Za-z0-9+/_=-]+"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _places(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
-    """Spans of the matches whose ``group`` has at least ``least`` characters, in order."""
+def running(values: Column, op, chunk: int = 64) -> Column:
+    """Inclusive running sums (or maxima: any associative ``op``) of a non-empty array.
+
+    Nothing grows from step to step, as it would if one fold built the result:
+    chunks are folded by themselves, then carried on by the fold of those before."""
+    def fold(x: Column) -> Column:
+        return F.aggregate(F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))), F.element_at(x, 1), lambda a, b: op(a, b))
+
+    def each(chunks: Column) -> Column:
+        def carried(ends: Column) -> Column:
+            return F.flatten(F.transform(chunks, lambda x, c: let(F.get(ends, c - 1), lambda e: F.transform(x, lambda _, i: let(
+                fold(F.slice(x, 1, i + 1)), lambda own: F.when(c == 0, own).otherwise(op(e, own)))))))
+        return let(F.transform(chunks, fold), lambda whole: let(
+            F.transform(whole, lambda _, c: fold(F.slice(whole, 1, c + 1))), carried))
+
+    return let(values, lambda all_: let(F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / chunk).cast("int")),
+                                                    lambda c: F.slice(all_, c * chunk + 1, chunk)), each))
+
+
+def _places(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0, keep=None) -> Column:
+    """Spans of the matches whose ``group`` has at least ``least`` characters and of which ``keep(match)`` is true, in order."""
     k = KINDS.index(kind)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def spans(m: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        sizes = (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else m)
-        each = F.zip_with(F.zip_with(F.slice(gaps, 1, F.size(m)), m, lambda g, x: F.struct(
-            F.length(g).alias("gap"), F.length(x).alias("own"))), sizes, lambda a, v: F.struct(
-                a["gap"].alias("gap"), a["own"].alias("own"), F.length(v).alias("value")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-        run = F.aggregate(each, start, lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["own"]).alias("at"),
-            F.when(x["value"] >= least, F.concat(s["out"], F.array(F.struct(
-                (s["at"] + x["gap"]).alias("start"), F.lit(k).alias("kind"),
-                (s["at"] + x["gap"] + x["own"]).alias("end"))))).otherwise(s["out"]).alias("out")))
-        return run["out"]
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(m)), F.length)
+        taken = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda v: F.length(v) >= least) if group else (
+            F.transform(m, keep or (lambda _: F.lit(True))))
+        ends = running(F.zip_with(gaps, m, lambda g, x: g + F.length(x)), lambda a, b: a + b)
+        all_ = F.zip_with(ends, m, lambda e, x: F.struct((e - F.length(x)).alias("start"), F.lit(k).alias("kind"), e.alias("end")))
+        return F.filter(F.zip_with(all_, taken, lambda x, t: F.when(t, x)), lambda x: x.isNotNull()).cast(SPAN)
 
     return let(found, lambda m: F.when(F.size(m) > 0, spans(m)).otherwise(F.array().cast(SPAN)))
 
@@ -105,8 +118,7 @@ def markov_spans(text: Column, ratios: list[float], least_length: int, least_rat
     def secret(word: Column) -> Column:
         return (F.size(F.array_distinct(F.split(word, ""))) >= least_variety) & (_mean_ratio(word, table) >= least_ratio)
 
-    return F.filter(_places(text, pattern, "markov"), lambda x: let(
-        F.substring(text, x["start"] + 1, x["end"] - x["start"]), secret))
+    return _places(text, pattern, "markov", keep=secret)
 
 
 def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int, share: float = 1e-3) -> DataFrame:
@@ -135,17 +147,41 @@ def labelled_samples(docs: DataFrame, text_col: str, sample_rows: int, share: fl
             .unionByName(some.select(F.explode(pairs).alias("word")).withColumn("random", F.lit(False))))
 
 
-def _uncovered(run: Column, base: Column) -> Column:
-    """The pieces of the span ``run`` that no span of ``base`` (sorted by start) covers, in order."""
-    def piece(start: Column, end: Column) -> Column:
-        return F.when(start < end, F.array(F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end")))
-                      ).otherwise(F.array().cast(SPAN))
+def _ends(spans: Column) -> Column:
+    """For each of the spans (sorted by start, not empty) the furthest end so far."""
+    return running(F.transform(spans, lambda x: x["end"]), F.greatest)
+
+
+def _below(points: Column, values: Column, or_equal: bool) -> Column:
+    """For each of the ascending ``values`` how many of ``points`` are below it (or equal): by one sort, not by a search for each."""
+    tag = 1 if or_equal else 0
+
+    def tagged(x: Column, t: int) -> Column:
+        return F.transform(x, lambda a: F.struct(a.alias("at"), F.lit(t).alias("tag")))
+
+    p, v = tagged(points, 1 - tag), tagged(values, tag)
+    place = F.filter(F.transform(F.array_sort(F.concat(p, v)), lambda x, i: F.when(x["tag"] == tag, i)), lambda x: x.isNotNull())
+    return F.transform(place, lambda at, j: at - j)
+
+
+def _uncovered(runs: Column, base: Column) -> Column:
+    """The pieces of ``runs`` (sorted, apart from one another) that no span of ``base`` (sorted by start) covers, in order."""
+    far = F.lit((1 << 31) - 1)
+
+    def free(ends: Column) -> Column:
+        """The stretches between base spans."""
+        both = F.zip_with(F.concat(F.array(F.lit(0)), ends), F.concat(F.transform(base, lambda x: x["start"]), F.array(far)),
+                          lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+        return F.filter(both, lambda x: x["start"] < x["end"])
+
+    def pieces(gaps: Column) -> Column:
+        low = _below(F.transform(gaps, lambda x: x["end"]), F.transform(runs, lambda r: r["start"]), True)
+        high = _below(F.transform(gaps, lambda x: x["start"]), F.transform(runs, lambda r: r["end"]), False)
+        return F.flatten(F.zip_with(runs, F.zip_with(low, high, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda r, x: F.transform(
+            F.slice(gaps, x["a"] + 1, F.greatest(x["b"] - x["a"], F.lit(0))), lambda g: F.struct(
+                F.greatest(g["start"], r["start"]).alias("start"), r["kind"].alias("kind"), F.least(g["end"], r["end"]).alias("end")))))
 
-    begin = F.struct(run["start"].alias("at"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(base, begin, lambda s, y: F.struct(
-        F.greatest(s["at"], F.least(y["end"], run["end"])).alias("at"),
-        F.concat(s["out"], piece(s["at"], F.least(y["start"], run["end"]))).alias("out")),
-        lambda s: F.concat(s["out"], piece(s["at"], run["end"])))
+    return F.when((F.size(base) == 0) | (F.size(runs) == 0), runs).otherwise(let(let(_ends(base), free), pieces)).cast(SPAN)
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300,
@@ -162,8 +198,8 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", sample_rows: int = 300
     ratios = fit_markov(labelled_samples(docs, text_col, sample_rows))
     text = F.coalesce(F.col(text_col), F.lit(""))
     added = markov_spans(text, ratios, least_length, least_ratio)
-    return docs.withColumn("secret_spans", let(base_spans(text), lambda base: F.array_sort(F.concat(
-        base, F.flatten(F.transform(added, lambda x: _uncovered(x, base)))))))
+    return docs.withColumn("secret_spans", let(base_spans(text), lambda base: let(
+        added, lambda runs: F.array_sort(F.concat(base, _uncovered(runs, base))))))
 
 
 def joined(spans: Column) -> Column:
@@ -179,14 +215,25 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", **ho
     Spans that overlap are replaced together by one mark.
     """
     found = scan_secrets(docs.withColumnRenamed("secret_spans", "_kept_spans"), text_col, **how)
-    text, spans = F.col(text_col), F.col("secret_spans")
-    done = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate(spans, done, lambda s, x: F.struct(
-        F.greatest(s["at"], x["end"]).alias("at"),
-        F.when(x["start"] < s["at"], s["out"]).otherwise(F.concat(
-            s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).alias("out")),
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text) - s["at"])))
-    return (found.withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(text))
+    text, spans, block = F.col(text_col), F.col("secret_spans"), 4096
+
+    def part(blocks: Column, start: Column, end: Column) -> Column:
+        """Characters from start to end: from the blocks that hold them, as a place in a long text is found by walking to it."""
+        first, last = (F.floor(x / block).cast("int") for x in (start, end - 1))
+        return F.when(end <= start, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(first, F.greatest(first, last)), lambda i: F.substring(
+            F.get(blocks, i), F.greatest(start - i * block, F.lit(0)) + 1,
+            F.least(end - i * block, F.lit(block)) - F.greatest(start - i * block, F.lit(0)))), ""))
+
+    def cut(blocks: Column) -> Column:
+        def kept(ends: Column) -> Column:
+            before = F.concat(F.array(F.lit(0)), ends)  # the furthest end before each span, and at last of all
+            marked = F.zip_with(spans, F.slice(before, 1, F.size(spans)), lambda x, at: F.when(
+                x["start"] >= at, F.concat(part(blocks, at, x["start"]), F.lit(mark))).otherwise(F.lit("")))
+            return F.array_join(F.concat(marked, F.array(part(blocks, F.element_at(ends, -1), F.length(text)))), "")
+        return let(_ends(spans), kept)
+
+    done = let(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % block), F.lit(0)), cut)
+    return (found.withColumn(text_col, F.when(F.size(spans) > 0, done).otherwise(text))
             .drop("secret_spans").withColumnRenamed("_kept_spans", "secret_spans").select(*docs.columns))
 
 

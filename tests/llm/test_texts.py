@@ -328,3 +328,54 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark, id_once):
     eight = [x for x in got if x[0] == 8]
     assert Counter(x for x in got if x[0] != 8) == Counter([(2, a), (None, b), (None, c), (7, d)])
     assert len(eight) == 1 and eight[0] in [(8, e), (8, f)] if id_once else Counter(eight) == Counter([(8, e), (8, f)])
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 200])
+def test_running_sums_and_maxima(spark, n):
+    r = random.Random(n)
+    v = [r.randint(-50, 50) for _ in range(n)]
+    df = spark.createDataFrame([(v,)], "v array<int>")
+    got = df.select(secrets.running(F.col("v"), lambda a, b: a + b, 8).alias("s"), secrets.running(F.col("v"), F.greatest, 8).alias("m")).first()
+    assert got.s == np.cumsum(v).tolist() and got.m == np.maximum.accumulate(v).tolist()
+
+
+def test_uncovered_pieces_against_characters(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(60):
+        at, runs = 0, []
+        for _ in range(r.randint(0, 12)):
+            at += r.randint(1, 9)
+            runs.append((at, 3, at := at + r.randint(1, 20)))
+        base = sorted((s, r.randint(0, 2), s + r.randint(1, 15)) for s in (r.randint(0, 200) for _ in range(r.randint(0, 12))))
+        rows.append((i, runs, base))
+    df = spark.createDataFrame(rows, f"i int, runs {secrets.SPAN}, base {secrets.SPAN}")
+    got = {x.i: [(p.start, p.end) for p in x.p] for x in df.select("i", secrets._uncovered(F.col("runs"), F.col("base")).alias("p")).collect()}
+    for i, runs, base in rows:
+        held = {c for s, _, e in base for c in range(s, e)}
+        want = []
+        for s, _, e in runs:
+            for c in range(s, e):
+                if c not in held:
+                    if want and want[-1][1] == c and c != s:
+                        want[-1] = (want[-1][0], c + 1)
+                    else:
+                        want.append((c, c + 1))
+        assert got[i] == want
+
+
+def test_secrets_are_linear_in_the_spans_of_a_text(spark):
+    import time
+    n = 100_000
+    text = "".join(f"token=aZ9{i:06d}kQ\n" for i in range(n // 2)) + "é\n" + "".join(f"secret: {i:06d}xy {i:024x}\n" for i in range(n // 4))
+    docs = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    began = time.time()
+    row = {r.doc_id: r for r in secrets.secret_digest(docs).collect()}[1]
+    took = time.time() - began
+    assert (row.n_assign, row.n_access, row.n_hex) == (n // 2 + n // 4, 0, n // 4)
+    assert row.base_sha256 == hashlib.sha256(",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in brute_spans(text)).encode()).hexdigest()
+    assert took < 30, took
+    began = time.time()
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[2] == "plain" and clean[1].startswith("[SECRET]\n[SECRET]\n") and clean[1].count("[SECRET]") >= n
+    assert "token=" not in clean[1] and "é\n" in clean[1] and time.time() - began < 30
