@@ -16,6 +16,8 @@ The vector has two parts, both additive:
 
 from __future__ import annotations
 
+import bisect
+import collections
 import hashlib
 from collections.abc import Iterator
 
@@ -26,10 +28,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import bounded_batches, shuffle_partitions
+from churnspark.llm.common import bounded_batches, shuffle_partitions, written
 
 WORDS, SIGNS = 16, 128
-_LEAST = -(1 << 63)
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _sum(parts: np.ndarray, counts: np.ndarray, dtype) -> np.ndarray:
@@ -102,6 +104,36 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - third] + following[:third]
 
 
+def range_bounds(rows: DataFrame, parts: int) -> tuple[list[tuple[int, int, int]], set[int]]:
+    """Bounds of about ``parts`` ranges of ``k`` (falling), ``g`` and ``u``, as
+    sorted (~k, g, u), and the ids that are cut further, by g and u.
+
+    A value that is several quantiles in a row fills so many ranges.  The driver
+    sees the quantiles only, a few for each range."""
+    def quantiles(frame: DataFrame, keys: list[str], col: str) -> dict[tuple, list[int]]:
+        q = F.percentile_approx(col, [i / parts for i in range(1, parts)], max(10_000, 5 * parts)).alias("q")
+        return {tuple(r[c] for c in keys): list(r.q or []) for r in frame.groupBy(*keys).agg(q).collect()}
+
+    def cut(values: list[int], ranges: int) -> list[int]:
+        """``ranges - 1`` of the quantiles, evenly spaced."""
+        return [values[i * len(values) // ranges] for i in range(1, ranges)] if values else []
+
+    if parts < 2:
+        return [], set()
+    ids = collections.Counter(quantiles(rows, [], "k").get((), []))
+    hot = {k: n + 1 for k, n in ids.items() if n > 1}
+    bounds = [(~k, _MOST, _MOST) for k in ids]
+    if hot:
+        texts = {k: collections.Counter(cut(q, hot[k])) for (k,), q in quantiles(rows.where(F.col("k").isin(*hot)), ["k"], "g").items()}
+        bounds += [(~k, h, _MOST) for k, c in texts.items() for h in c]
+        again = {(k, h): n + 1 for k, c in texts.items() for h, n in c.items() if n > 1}
+        if again:
+            some = rows.where(F.col("k").isin(*{k for k, _ in again}) & F.col("g").isin(*{h for _, h in again}))
+            for (k, h), q in quantiles(some, ["k", "g"], "u").items():
+                bounds += [(~k, h, u) for u in cut(q, again.get((k, h), 1))]
+    return sorted(set(bounds)), set(hot)
+
+
 _FIELDS = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
            "near_edited double, near_next double")
 
@@ -111,9 +143,10 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The next document is the one with the next smaller id (after the last: the
     first).  Documents are dealt by range of id, so the texts move once; the
-    first rows of each range are also sent to the range before it.  The ranges'
-    bounds (one per partition) are approximate quantiles of the ids; any bounds
-    give the same result.
+    first row of each range is also sent to the range before it.  The ranges'
+    bounds are approximate quantiles of the ids; any bounds give the same
+    result.  An id that fills ranges by itself (null, say) is cut further by its
+    texts' hashes, and a text that does so by the number of the row.
 
     One row per row of ``docs``: a null text is empty, rows with equal ids
     follow one another by their text's hash, null ids come last.  A lone
@@ -122,35 +155,50 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    n = shuffle_partitions(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST))
-    ids = docs.select(key.alias("k"))
-    bounds = np.unique(np.array(ids.approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n), np.float64))
-
-    def place(k: np.ndarray) -> np.ndarray:
-        return (len(bounds) - np.searchsorted(bounds, k.astype(np.float64), "left")).astype(np.int32)
-
-    @F.pandas_udf("int")
-    def bucket(k: pd.Series) -> pd.Series:
-        return pd.Series(place(k.to_numpy()))
-
-    # one row per range
-    firsts = {r.bucket: r.top for r in ids.groupBy(bucket("k").alias("bucket")).agg(F.max("k").alias("top")).collect()}
+    rows = docs.select(F.col(id_col).alias("doc"), key.alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.monotonically_increasing_id().alias("u")).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("g", F.shiftright("h", 11))  # what quantiles, which are doubles, can tell apart
+    bounds, hot = range_bounds(rows, shuffle_partitions(spark))
+    if any(u != _MOST for *_, u in bounds):
+        rows = written(rows, "multiset-rows")  # row numbers count: they must not change from job to job
+
+    def places(k: list[int], h: list[int], u: list[int]) -> tuple[list[tuple], list[int]]:
+        """Each row's place in the order, as far as its range depends on it, and its range."""
+        at = [(~a, b, c) if a in hot else (~a, 0, 0) for a, b, c in zip(k, h, u)]
+        return at, [bisect.bisect_left(bounds, x) for x in at]
+
+    @F.pandas_udf("bucket int, k long, h long")
+    def placed(k: pd.Series, h: pd.Series, u: pd.Series) -> pd.DataFrame:
+        at, bucket = places(k.tolist(), h.tolist(), u.tolist())
+        return pd.DataFrame({"bucket": np.array(bucket, np.int32), "k": [x[0] for x in at], "h": [x[1] for x in at]})
+
+    if hot:
+        found = rows.select(placed("k", "g", "u").alias("p"))
+    else:  # the texts need not be read for it
+        none = F.lit(0).cast("long")
+        found = docs.select(placed(key, none, none).alias("p"))
+    # one row per range: its first id, and text hash if that matters
+    firsts = {r.bucket: (r.top.k, r.top.h) for r in found.select("p.*").groupBy("bucket").agg(F.min(F.struct("k", "h")).alias("top")).collect()}
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
 
     @F.pandas_udf("array<struct<bucket:int,extra:int>>")
-    def sent(k: pd.Series) -> pd.Series:
-        return pd.Series([[{"bucket": b, "extra": 0}] + ([{"bucket": before[b], "extra": 1}] if firsts[b] == x else [])
-                          for x, b in zip(k.tolist(), place(k.to_numpy()).tolist())])
+    def sent(k: pd.Series, h: pd.Series, g: pd.Series, u: pd.Series) -> pd.Series:
+        at, bucket = places(k.tolist(), g.tolist(), u.tolist())
+        out, seen = [], set()
+        for x, b, y in zip(at, bucket, h.tolist()):
+            out.append([{"bucket": b, "extra": 0}])
+            if x[:2] == firsts[b] and (b, x[0], y) not in seen:  # of equal rows one will do
+                seen.add((b, x[0], y))
+                out[-1].append({"bucket": before[b], "extra": 1})
+        return pd.Series(out)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = (docs.select(F.col(id_col).alias("doc"), key.alias("k"), text.alias("text"))
-            .select("doc", "k", "text", F.explode(sent("k")).alias("to"))
-            .select("doc", "k", "text", "to.bucket", "to.extra")
-            .repartitionById(n, "bucket")
-            .sortWithinPartitions("bucket", "extra", F.col("k").desc(), F.xxhash64("text"), "text"))
+    rows = (rows.select("doc", "k", "h", "text", F.explode(sent("k", "h", "g", "u")).alias("to"))
+            .select("doc", "k", "h", "text", "to.bucket", "to.extra")
+            .repartitionById(len(bounds) + 1, "bucket")
+            .sortWithinPartitions("bucket", "extra", F.col("k").desc(), "h", "text").drop("h"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list[tuple] = []

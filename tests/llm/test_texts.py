@@ -330,6 +330,29 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark, id_once):
     assert len(eight) == 1 and eight[0] in [(8, e), (8, f)] if id_once else Counter(eight) == Counter([(8, e), (8, f)])
 
 
+def test_hot_ids_and_hot_texts_are_spread(spark):
+    """A third of the rows has no id, another third repeats one row: both in many tasks, in the order as told."""
+    r = random.Random(6)
+    rows = [(None, f"{r.random()} a. b") for _ in range(500)] + [(7, "the same words. again")] * 500 + [(7, "another")] * 3
+    rows += [(i, f"{r.random()} c") for i in range(20, 520)]
+    r.shuffle(rows)
+
+    def brute():
+        def place(x):
+            h = xxhash.xxh64_intdigest(x[1].encode(), 42)
+            return (x[0] is None, -(x[0] or 0), h - (1 << 64) if h >> 63 else h)
+        order = sorted(rows, key=place)
+        return Counter((i, len(t), hashlib.sha256((t[:len(t) - len(t) // 3] + u[:len(t) // 3]).encode()).hexdigest())
+                       for (i, t), (_, u) in zip(order, order[1:] + order[:1]))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = multiset.edit_fingerprints(docs).withColumn("part", F.spark_partition_id()).collect()
+    assert Counter((x.doc_id, x.n_chars, x.edited_sha256) for x in out) == brute()
+    for own in (None, 7):
+        sizes = Counter(x.part for x in out if x.doc_id == own)
+        assert len(sizes) >= 2 and max(sizes.values()) < 400, sizes
+
+
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 200])
 def test_running_sums_and_maxima(spark, n):
     r = random.Random(n)
