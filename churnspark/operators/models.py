@@ -17,7 +17,6 @@ from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Model
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
@@ -30,6 +29,7 @@ from churnspark import schemas as S
 from churnspark.operators.evaluate import roc_auc, threshold_table
 from churnspark.operators.prefix import Grid, cumulative
 from churnspark.operators.split import with_weights
+from churnspark.session import cut_lineage
 
 
 def prob1(col: str = "probability") -> Column:
@@ -270,26 +270,25 @@ def permutation_importance(scored_fn, df: DataFrame, cols: Sequence[str], key: s
                            seed: int = 7) -> DataFrame:
     """AUC drop when one column's values are permuted across rows.
 
-    The permutation pairs rank r by the key's hash with rank r by a second
-    seeded hash (distributed prefix ranks, an equi-join on rank): no sort
-    of the whole table in one task.  ``scored_fn`` maps a frame to one with
-    ``score``."""
-    base = roc_auc(scored_fn(df).select(F.lit("m").alias("model"), "score",
-                                        F.col(label).alias("label"))).first()["roc_auc"]
-    out = []
-    spark = df.sparkSession
-    r1 = cumulative(df.withColumn("_h1", F.xxhash64(key, F.lit(1))), None, "_h1",
-                    {"_o": F.lit(1).cast("bigint")}, distinct=False, tiebreak=[key])
-    for i, c in enumerate(cols):
-        r2 = cumulative(df.select(key, c).withColumn("_h2", F.xxhash64(key, F.lit(seed + i))), None, "_h2",
-                        {"_o": F.lit(1).cast("bigint")}, distinct=False, tiebreak=[key])
-        donor = r2.select(F.col("cum__o").alias("_rk"), F.col(c).alias("_v"))
-        perm = (r1.withColumnRenamed("cum__o", "_rk").join(donor, "_rk")
-                  .withColumn(c, F.col("_v")).drop("_v", "_rk", "_h1", "_o", "prev__o"))
-        auc = roc_auc(scored_fn(perm).select(F.lit("m").alias("model"), "score",
-                                             F.col(label).alias("label"))).first()["roc_auc"]
-        out.append((c, float(base), float(auc), float(base - auc)))
-    return spark.createDataFrame(out, "feature string, base_auc double, permuted_auc double, drop double")
-
-
-__all__ = ["Model"]
+    The permutation pairs rank r by one seeded hash of the key with rank r by
+    another (distributed prefix ranks and an equi-join on the rank): no sort of
+    the whole table in one task, and one pass for all columns.  The variants (the
+    rows as they are, and once per column with that column from the partner) are
+    scored and ranked together, as models of one table.  ``key`` must be unique;
+    rows without a key are left out.  ``scored_fn`` maps a frame to one with
+    ``score`` and keeps further columns.  A row for each column."""
+    def ranked(frame: DataFrame, n: int) -> DataFrame:
+        c = cumulative(frame.withColumn("_h", F.xxhash64(key, F.lit(n))), None, "_h", {"_o": F.lit(1).cast("bigint")},
+                       distinct=False, tiebreak=[key])
+        return c.withColumnRenamed("cum__o", "_rk").drop("_h", "_o", "prev__o", "all__o")
+
+    rows = df.where(F.col(key).isNotNull())
+    donors = ranked(rows.select(key, *cols), seed).select("_rk", F.struct(*cols).alias("_from"))
+    both = cut_lineage(ranked(rows, 1).join(donors, "_rk").drop("_rk"))
+    every = both.drop("_from").withColumn("_variant", F.lit(""))
+    for c in cols:
+        every = every.unionByName(both.withColumn(c, F.col("_from")[c]).drop("_from").withColumn("_variant", F.lit(c)))
+    auc = roc_auc(scored_fn(every).select(F.col("_variant").alias("model"), "score", F.col(label).alias("label"))).collect()
+    of = {r.model: float(r.roc_auc) for r in auc if r.roc_auc is not None}  # one row a column
+    return df.sparkSession.createDataFrame([(c, of[""], of[c], of[""] - of[c]) for c in cols if c in of],
+                                           "feature string, base_auc double, permuted_auc double, drop double")

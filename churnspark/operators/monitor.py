@@ -100,8 +100,7 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], with_p: bool =
     lf = long_form(_tagged(ref, cur, cols), cols, keep=["_cur"]).where(F.col("value").isNotNull())
     c = cumulative(lf, ["column"], "value",
                    {"r": (1 - F.col("_cur")).cast("bigint"), "c": F.col("_cur").cast("bigint")})
-    tot = c.groupBy("column").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    j = c.join(F.broadcast(tot), "column")
+    j = c.withColumnsRenamed({"all_r": "n_ref", "all_c": "n_cur"})
     d = F.abs(F.col("cum_r") / F.col("n_ref") - F.col("cum_c") / F.col("n_cur"))
     out = j.groupBy("column", "n_ref", "n_cur").agg(F.max(d).alias("ks"))
     if with_p:

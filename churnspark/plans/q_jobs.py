@@ -323,3 +323,20 @@ def s3_s5_s6_s7_sinks(spark, d):
         r = df.select(F.lit(k).alias("sink"), "contract", F.col("n").cast("bigint").alias("n"), F.col("churners").cast("bigint").alias("churners"))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# ------------------------------------------------------------------ I3, M12
+@query("i3_forward_equals_spark", Q.with_(Q.FEAT, "SELECT CAST(count(*) AS BIGINT) AS rows, true AS same FROM feat"))
+def i3_forward_equals_spark(spark, d):
+    """The NumPy forward pass and Spark's own, on all rows: no difference above 1e-9."""
+    from churnspark.plans.registry import QUERIES
+    f = QUERIES["i3_mlp_forward"](spark, d)
+    return f.agg(F.count(F.lit(1)).cast("bigint").alias("rows"), (F.max("abs_diff") < 1e-9).alias("same"))
+
+
+@query("m12_importance_of_a_rule", Q.with_(Q.FEAT, "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, {str(c in ('contract', 'tenure_months')).lower()} AS matters FROM (SELECT 1)" for c in S.INPUT_FIELDS)))
+def m12_importance_of_a_rule(spark, d):
+    """M12 for a scorer that reads two columns (M13): permuting any other changes nothing at all."""
+    r = M.permutation_importance(lambda df: M.rule_score(df, tenure=60, use_charge=False), feat(spark, d), S.INPUT_FIELDS, "customerid", LABEL)
+    return r.select("feature", (F.col("drop") != 0).alias("matters"))

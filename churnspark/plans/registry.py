@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from churnspark.plans import q_core, q_eval, q_profile, q_business, q_monitor, q_ml, q_stream, q_jobs  # noqa: F401
+    from churnspark.plans import q_core, q_eval, q_profile, q_business, q_monitor, q_ml, q_stream, q_jobs, q_checks  # noqa: F401
 
 
 def rounded(df, cols, digits: int = 6):
