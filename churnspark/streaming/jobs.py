@@ -218,15 +218,16 @@ def latest_versions(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def in_loads(arrivals: DataFrame, load, path: str, after_each: Callable[[], None]) -> None:
-    """Deliver a table as a file feed, out of time order: the rows of each value
-    of ``load`` (a column or its name), in its order, are added to ``path``, and ``after_each`` runs
-    what reads them, as a job does that starts anew for every delivery.  The
-    loads are few (one a night, say); the table is dealt to them in one pass."""
+    """Deliver a table as a file feed: the rows of each value of ``load`` (a
+    column or its name), in its order, are added to ``path``, and ``after_each``
+    runs what reads them, as a job does that starts anew for every delivery.
+    Rows without a load come first.  The loads are few (one a night, say); the
+    table is dealt to them in one pass."""
     stage = f"{path}-stage-{uuid.uuid4().hex[:8]}"
     arrivals.withColumn("_load", F.col(load) if isinstance(load, str) else load).write.partitionBy("_load").parquet(stage)
     rows = arrivals.sparkSession.read.parquet(stage)
     for r in rows.select("_load").distinct().orderBy("_load").collect():
-        rows.where(F.col("_load") == r[0]).drop("_load").write.mode("append").parquet(path)
+        rows.where(F.col("_load").eqNullSafe(F.lit(r[0]))).drop("_load").write.mode("append").parquet(path)
         after_each()
 
 

@@ -26,7 +26,7 @@ def tmp(tmp_path_factory):
 
 # ---------------------------------------------------------------- R24
 def test_late_rows_go_to_the_side_table(spark, tmp):
-    rows = [(1, day(0), 0), (2, day(5), 0), (None, day(4), 0),
+    rows = [(10, day(1), None), (1, day(0), 0), (2, day(5), 0), (None, day(4), 0),
             (3, day(4), 1), (4, day(3), 1), (5, day(2, 23), 1), (6, day(10), 1), (2, day(5), 1), (None, day(4), 1),
             (7, day(8, 1), 2), (8, day(7), 2), (6, day(10), 2), (9, day(11), 2), (9, day(11), 2)]
     arrivals = spark.createDataFrame(rows, "id long, ts timestamp, load int")
@@ -40,9 +40,9 @@ def test_late_rows_go_to_the_side_table(spark, tmp):
     ST.in_loads(arrivals, "load", feed, run)
     kept = Counter((r.id, r.load) for r in spark.read.parquet(f"{out}/kept").collect())
     late = Counter((r.id, r.load) for r in spark.read.parquet(f"{out}/late").collect())
-    assert len(seen) == 3
+    assert len(seen) == 4
     # watermarks: none, day 3 (5 less 2), day 8 (10 less 2); a time equal to the watermark is late
-    assert kept == Counter({(1, 0): 1, (2, 0): 1, (None, 0): 1, (3, 1): 1, (6, 1): 1, (7, 2): 1, (9, 2): 1})
+    assert kept == Counter({(10, None): 1, (1, 0): 1, (2, 0): 1, (None, 0): 1, (3, 1): 1, (6, 1): 1, (7, 2): 1, (9, 2): 1})
     # day 3 and before, then what repeats a row kept before, then day 8 and before
     assert late == Counter({(4, 1): 1, (5, 1): 1, (2, 1): 1, (None, 1): 1, (8, 2): 1, (6, 2): 1})
 
