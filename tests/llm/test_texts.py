@@ -402,3 +402,59 @@ def test_secrets_are_linear_in_the_spans_of_a_text(spark):
     clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert clean[2] == "plain" and clean[1].startswith("[SECRET]\n[SECRET]\n") and clean[1].count("[SECRET]") >= n
     assert "token=" not in clean[1] and "é\n" in clean[1] and time.time() - began < 30
+
+
+def plain_logit(net, text):
+    """The network in loops, double precision."""
+    raw, embed = text.encode(), net.embed.astype(float)
+    n = max(1, -(-max(0, len(raw) - quality_net.WIDTH) // quality_net.STRIDE) + 1)
+    responses = []
+    for c in range(n):
+        at = c * quality_net.STRIDE
+        row = [raw[i] if i < len(raw) else 256 for i in range(at, at + quality_net.WIDTH)]
+        x = [v for b in row for v in embed[b]]
+        responses.append([max(0.0, sum(a * w for a, w in zip(x, net.filters[:, k].astype(float))) + float(net.bias[k]))
+                          for k in range(len(net.bias))])
+    top = [max(r[k] for r in responses) for k in range(len(net.bias))]
+    mean = [sum(r[k] for r in responses) / n for k in range(len(net.bias))]
+    return sum(w * v for w, v in zip(net.weights.astype(float), top + [10 * m for m in mean])) + net.offset
+
+
+QUALITY = ["Plain words in a row, nothing odd here.", "### $$$ buy now !!! %%%", "", "a", "Ein Satz. Noch ein Satz, é ü.", "x" * 40 + " end"]
+
+
+def test_quality_scores_against_plain_loops():
+    net = quality_net.Net.fresh(np.random.default_rng(3))
+    net.offset = 0.3
+    got = quality_net.scores(net, QUALITY)
+    assert np.allclose(got, [1 / (1 + np.exp(-plain_logit(net, t))) for t in QUALITY], atol=1e-5)
+
+
+def test_quality_gradient_against_finite_differences():
+    """Adam's first step moves every parameter by the rate, against the sign of its gradient."""
+    labels, rate = [1, 0, 0, 1, 1, 0], 1e-3
+    net = quality_net.Net.fresh(np.random.default_rng(7))
+    net.offset = float(np.log((sum(labels) + 1) / (len(labels) - sum(labels) + 1)))
+    moved = quality_net.fit(QUALITY, labels, epochs=1, batch=len(labels), rate=rate, seed=7)
+
+    def loss():
+        z = [plain_logit(net, t) for t in QUALITY]
+        return sum(np.logaddexp(0, -v) if y else np.logaddexp(0, v) for v, y in zip(z, labels)) / len(z)
+
+    rng, checked = np.random.default_rng(0), 0
+    used = sorted(set("".join(QUALITY).encode())) + [256]
+    for name in ("embed", "filters", "bias", "weights"):
+        old, new = getattr(net, name), getattr(moved, name)
+        places = [(used[rng.integers(len(used))], rng.integers(old.shape[1])) for _ in range(12)] if name == "embed" else [
+            tuple(rng.integers(n) for n in old.shape) for _ in range(12)]
+        for at in places:
+            keep, ends = old[at], []
+            for step in (1e-3, -1e-3):
+                old[at] = keep + step
+                ends.append((loss(), float(old[at])))
+            old[at] = keep
+            slope = (ends[0][0] - ends[1][0]) / (ends[0][1] - ends[1][1]) + (1e-4 * float(keep) if name == "weights" else 0)
+            if abs(slope) > 1e-4:
+                assert abs(float(new[at] - keep) + rate * np.sign(slope)) < 0.05 * rate, (name, at, slope)
+                checked += 1
+    assert checked >= 30
