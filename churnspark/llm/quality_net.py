@@ -3,8 +3,8 @@
 A document is its UTF-8 bytes.  Overlapping chunks of ``WIDTH`` bytes, one
 every ``STRIDE`` bytes, cover it from the first byte to the last; each byte is
 embedded, learned filters respond to every chunk, responses are max-pooled
-over the whole document, and a logistic layer combines the pooled maxima (and,
-for the density of a pattern, the mean responses) into one probability.
+over the whole document, and a logistic layer combines the pooled maxima into
+one probability.
 
 Training runs on the driver over a bounded sample of labelled rows: at most
 ``max_rows`` rows of at most ``max_bytes`` bytes each, by smallest row hash.
@@ -31,14 +31,14 @@ class Net:
     embed: np.ndarray  # 257 x e; row 256 stands past the end of a text
     filters: np.ndarray  # WIDTH * e x f
     bias: np.ndarray  # f
-    weights: np.ndarray  # 2 f
+    weights: np.ndarray  # f
     offset: float
 
     @classmethod
     def fresh(cls, rng: np.random.Generator, e: int = 6, f: int = 32) -> Net:
         return cls(rng.normal(0, 0.5, (257, e)).astype(np.float32),
                    rng.normal(0, (2 / (WIDTH * e)) ** 0.5, (WIDTH * e, f)).astype(np.float32),
-                   np.zeros(f, np.float32), rng.normal(0, 0.1, 2 * f).astype(np.float32), 0.0)
+                   np.zeros(f, np.float32), rng.normal(0, 0.1, f).astype(np.float32), 0.0)
 
 
 def chunks(raw: bytes) -> np.ndarray:
@@ -49,10 +49,9 @@ def chunks(raw: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(flat, WIDTH)[::STRIDE]
 
 
-def pooled(net: Net, pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Maxima and means of the filters' responses for documents given as chunks."""
-    f = len(net.bias)
-    top, mean = np.zeros((len(pieces), f), np.float32), np.zeros((len(pieces), f), np.float32)
+def pooled(net: Net, pieces: list[np.ndarray]) -> np.ndarray:
+    """Maxima of the filters' responses for documents given as chunks."""
+    top = np.zeros((len(pieces), len(net.bias)), np.float32)
     sizes = np.array([len(p) for p in pieces])
 
     def run(rows: np.ndarray) -> np.ndarray:
@@ -62,31 +61,27 @@ def pooled(net: Net, pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     while start < len(pieces):
         if sizes[start] > BLOCK:  # one long document, block by block
             for at in range(0, sizes[start], BLOCK):
-                r = run(pieces[start][at:at + BLOCK])
-                top[start] = np.maximum(top[start], r.max(0))
-                mean[start] += r.sum(0) / sizes[start]
+                top[start] = np.maximum(top[start], run(pieces[start][at:at + BLOCK]).max(0))
             start += 1
             continue
         end = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), BLOCK, "right")))
         r = run(np.concatenate(pieces[start:end]))
         cut = np.concatenate([[0], np.cumsum(sizes[start:end])[:-1]])
         top[start:end] = np.maximum.reduceat(r, cut)
-        mean[start:end] = np.add.reduceat(r, cut) / sizes[start:end, None]
         start = end
-    return top, mean
+    return top
 
 
 def scores(net: Net, texts: list[str | None]) -> np.ndarray:
     if not texts:
         return np.zeros(0)
-    top, mean = pooled(net, [chunks((t or "").encode()) for t in texts])
-    z = np.concatenate([top, 10 * mean], 1).astype(np.float64) @ net.weights + net.offset
+    z = pooled(net, [chunks((t or "").encode()) for t in texts]).astype(np.float64) @ net.weights + net.offset
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32, rate: float = 4e-3,
         seed: int = 7) -> Net:
-    """Adam on the logistic loss; the gradient goes through each pooled maximum and through the means."""
+    """Adam on the logistic loss; the gradient goes through each pooled maximum."""
     rng = np.random.default_rng(seed)
     net = Net.fresh(rng)
     if not texts:
@@ -108,13 +103,12 @@ def fit(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32,
             x = net.embed[rows].reshape(len(rows), -1)
             r = np.maximum(x @ net.filters + net.bias, 0)
             best = np.stack([c + r[c:c + s].argmax(0) for c, s in zip(cut, sizes)])
-            h = np.concatenate([r[best, np.arange(f)],
-                                10 * np.add.reduceat(r, cut) / sizes[:, None]], 1)
+            h = r[best, np.arange(f)]
             p = 1 / (1 + np.exp(-np.clip(h @ net.weights + net.offset, -50, 50)))
             dz = (p - y[ids]) / len(ids)
             dh = dz[:, None] * net.weights
-            dr = np.repeat(10 * dh[:, f:] / sizes[:, None], sizes, 0)
-            np.add.at(dr, (best.ravel(), np.tile(np.arange(f), len(ids))), dh[:, :f].ravel())
+            dr = np.zeros_like(r)
+            np.add.at(dr, (best.ravel(), np.tile(np.arange(f), len(ids))), dh.ravel())
             dr *= r > 0
             dx = (dr @ net.filters.T).reshape(-1, net.embed.shape[1])
             flat = rows.ravel()

@@ -416,8 +416,7 @@ def plain_logit(net, text):
         responses.append([max(0.0, sum(a * w for a, w in zip(x, net.filters[:, k].astype(float))) + float(net.bias[k]))
                           for k in range(len(net.bias))])
     top = [max(r[k] for r in responses) for k in range(len(net.bias))]
-    mean = [sum(r[k] for r in responses) / n for k in range(len(net.bias))]
-    return sum(w * v for w, v in zip(net.weights.astype(float), top + [10 * m for m in mean])) + net.offset
+    return sum(w * v for w, v in zip(net.weights.astype(float), top)) + net.offset
 
 
 QUALITY = ["Plain words in a row, nothing odd here.", "### $$$ buy now !!! %%%", "", "a", "Ein Satz. Noch ein Satz, é ü.", "x" * 40 + " end"]
