@@ -10,8 +10,6 @@ on low-cardinality columns); every transform is column expressions.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.feature import VectorAssembler

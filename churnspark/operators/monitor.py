@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark import schemas as S
-from churnspark.functions.stats import chi2_p, ks_p
+from churnspark.functions.stats import ks_p
 from churnspark.operators.evaluate import _div0
 from churnspark.operators.prefix import cumulative, exact_quantiles, long_form
 from churnspark.operators.profile import chi2_assoc, event_rate

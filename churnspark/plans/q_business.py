@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark import schemas as S
 from churnspark.operators import business as B
 from churnspark.operators.evaluate import confusion
 from churnspark.plans import sql as Q

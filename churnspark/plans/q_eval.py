@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from churnspark import schemas as S
 from churnspark.operators import evaluate as A
-from churnspark.operators.prefix import Grid
 from churnspark.plans import sql as Q
 from churnspark.plans.registry import query
 from churnspark.session import cut_lineage

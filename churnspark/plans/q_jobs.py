@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnspark import schemas as S

@@ -16,7 +16,7 @@ from churnspark.plans import sql as Q
 from churnspark.plans.registry import query, rounded
 from churnspark.plans.slice import cleaned_features
 from churnspark.session import cut_lineage
-from churnspark.sources.tables import events, snapshot, snapshot_scores
+from churnspark.sources.tables import events, snapshot
 
 NUM = ["tenure_months", "monthly_charges", "total_charges"]
 CATS = ["contract", "internet_service", "payment_method", "gender"]
