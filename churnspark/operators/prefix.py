@@ -22,9 +22,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A bucket is meant for so many rows (one task sorts it), and a key has so many buckets at most:
-#: the offsets of a key are one small sort.
-BUCKET_ROWS, MAX_BUCKETS = 250_000, 1024
+#: A bucket is meant for so many rows (one task sorts it).  A key has as many buckets as there are shuffle
+#: partitions at most, within these limits: more would not run side by side, and the offsets stay one small sort.
+BUCKET_ROWS, MIN_BUCKETS, MAX_BUCKETS = 250_000, 64, 4096
 
 
 def _keys(keys: Sequence[str] | str | None) -> list[str]:
@@ -45,16 +45,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
 def bucketed(d: DataFrame, keys: Sequence[str], v: Column, rows: int = 0, most: int = 0) -> DataFrame:
     """Add ``_b``: each key's rows in ranges of ``v`` of about ``rows`` rows
-    (``BUCKET_ROWS``), ``most`` (``MAX_BUCKETS``) at most.
+    (``BUCKET_ROWS``), ``most`` at most (the shuffle partitions, see there).
 
     The ranges follow the data: one aggregate gives a key's row count and fine
     quantiles, the count says how many of them are used.  So an outlier does not
     fill a range, and a short key has one range only.  A row finds its range by
     a search in two steps (every k-th bound, then k bounds), not along all bounds."""
-    rows, most = rows or BUCKET_ROWS, most or MAX_BUCKETS
+    partitions = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, most = rows or BUCKET_ROWS, most or min(MAX_BUCKETS, max(MIN_BUCKETS, partitions))
     q = d.groupBy(*keys).agg(F.percentile_approx(v, [i / most for i in range(1, most)], 20 * most).alias("_q"),
                              F.count(F.lit(1)).alias("_rows"))
-    n = F.least(F.ceil(F.col("_rows") / rows), F.lit(most)).cast("int")
+    n = F.ceil(F.col("_rows") / rows)
+    n = F.when(2 * n > most, F.lit(most)).otherwise(n).cast("int")  # between, every second quantile or so would be left out unevenly
     none = F.array().cast("array<double>")
     q = q.withColumn("_n", n).withColumn("_cuts", F.when(F.col("_n") > 1, F.transform(
         F.sequence(F.lit(1), F.col("_n") - 1), lambda i: F.element_at("_q", F.floor(i * most / F.col("_n")).cast("int")).cast("double")))
