@@ -90,13 +90,14 @@ def stream_failure_runs(spark, d):
 @query("stream_outcome_join", Q.with_(OUTCOME, "SELECT pred_id, user_id, ts, outcome, next_event_ts FROM jo"))
 def stream_outcome_join(spark, d):
     """R8 on streams: stream-stream interval join (7 days), closed at the
-    latest outcome to one row per prediction, fed in order of time."""
+    latest outcome to one row per prediction, fed in order of time: no row comes
+    late, so the watermark needs no delay and the state holds one horizon."""
     def build(ev):
         p = ev.where(F.col("event_type") == "view").select(F.col("event_id").alias("pred_id"), "user_id", "ts")
-        return ST.outcome_join_stream(p, ev.where(F.col("event_type") == "purchase").select("user_id", "ts"), H)
+        return ST.outcome_join_stream(p, ev.where(F.col("event_type") == "purchase").select("user_id", "ts"), H, watermark="0 seconds")
 
     rows = ST.with_cast_ts(events(spark, d).select("event_id", "user_id", "ts", "event_type"))
-    hits = _none_late(ST.run_in_order(rows, load_of("ts"), build, "outcome_join"))
+    hits = _none_late(ST.run_in_order(rows, load_of("ts"), build, "outcome_join", idle=False))
     return ST.outcome_from_hits(preds(spark, d), _ntz(hits, "o_ts"), outcomes(spark, d), H)
 
 

@@ -15,6 +15,7 @@ import os
 import threading
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -46,6 +47,23 @@ def _work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: State partitions for each core, at most: every one is loaded, committed and written in every batch, however few its rows.
+STATE_PARTS = 3
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """``values`` in the session's settings, and afterwards what was there before."""
+    old = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 class LateRows(StreamingQueryListener):
     """Rows that the watermark dropped, summed over every batch and every
     stateful operator of the query named ``query`` (``recentProgress`` keeps
@@ -177,14 +195,26 @@ def split_late(feed: DataFrame, out_dir: str, checkpoint: str, key: str, ts: str
 
 
 def run_in_order(rows: DataFrame, load, build: Callable[[DataFrame], DataFrame], name: str, mode: str = "append",
-                 ts: str = "ts", end: str | None = None) -> DataFrame:
+                 ts: str = "ts", end: str | None = None, idle: bool = True) -> DataFrame:
     """Run the stream ``build`` makes of a table that is not in time order: the
     table is dealt into loads by ``load`` (a column that rises with ``ts``, say its
     day), and the query is started once for each, in order, going on from its
     checkpoint.  So the watermark follows the data and the state holds one
     load and one delay, not the whole table.  ``end``: an interval after which a
     last row, null but for its time, comes by itself: it moves the watermark
-    past all that is still open.  The result is as of ``run_available``."""
+    past all that is still open.  ``idle`` False: no batch without rows follows a
+    load, for queries (inner joins) that emit nothing in it; the next load drops
+    the state that has passed.  The state is dealt to no more partitions than
+    ``STATE_PARTS`` a core, since a start loads and a batch commits them all.
+    The result is as of ``run_available``."""
+    spark = rows.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTS * spark.sparkContext.defaultParallelism)
+    with _settings(spark, {"spark.sql.shuffle.partitions": str(parts),
+                           "spark.sql.streaming.noDataMicroBatches.enabled": str(idle).lower()}):
+        return _run_loads(rows, load, build, name, mode, ts, end)
+
+
+def _run_loads(rows: DataFrame, load, build: Callable[[DataFrame], DataFrame], name: str, mode: str, ts: str, end: str | None) -> DataFrame:
     spark = rows.sparkSession
     base = _work_dir(spark, name)
     feed, late, out = os.path.join(base, "feed"), 0, None

@@ -93,3 +93,28 @@ def test_streams_read_files_out_of_time_order(spark, tmp_path):
         q = registry.QUERIES[name]
         key = lambda df: sorted(map(str, df.collect()))
         assert key(q(spark, str(tmp_path))) == key(q(spark, SF001)), name
+
+
+def test_ordered_loads_keep_little_state_and_no_idle_batch(spark, monkeypatch, tmp_path):
+    """One batch a load, state on a few partitions for each core, the session's settings as before."""
+    monkeypatch.setattr(ST, "_work_dir", lambda s, name: str(tmp_path / name))
+    day = lambda d: T0 + dt.timedelta(days=d)
+    ev = spark.createDataFrame([(1, 7, day(0), "view"), (2, 7, day(3), "purchase"), (3, 7, day(8), "purchase"),
+                                (4, 8, day(8), "view"), (5, 8, day(15), "purchase"), (6, 8, day(40), "view")],
+                               "event_id long, user_id long, ts timestamp, event_type string")
+
+    def build(x):
+        p = x.where("event_type = 'view'").select(F.col("event_id").alias("pred_id"), "user_id", "ts")
+        return ST.outcome_join_stream(p, x.where("event_type = 'purchase'").select("user_id", "ts"), 7, watermark="0 seconds")
+
+    monkeypatch.setattr(ST, "STATE_PARTS", 1)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.streaming.noDataMicroBatches.enabled")
+    before = [spark.conf.get(n) for n in names]
+    load = F.floor(F.unix_seconds("ts") / (6 * 86400)).cast("long")
+    hits = ST.run_in_order(ev, load, build, "join", idle=False)
+    assert sorted((r.pred_id, r.o_ts) for r in hits.collect()) == [(1, day(3)), (4, day(15))] and hits._late_rows == 0
+    assert [spark.conf.get(n) for n in names] == before
+    batches = [f for f in os.listdir(tmp_path / "join/checkpoint/commits") if f.isdigit()]
+    assert len(batches) == ev.select(load).distinct().count()
+    parts = [f for f in os.listdir(tmp_path / "join/checkpoint/state/0") if f.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism < int(before[0])
