@@ -18,7 +18,7 @@ from churnspark.operators import models as M
 from churnspark.operators import scoring as I
 from churnspark.operators import split as V
 from churnspark.plans import sql as Q
-from churnspark.plans.q_ml import LABEL, PRE, _vec_sql, feat
+from churnspark.plans.q_ml import LABEL, PRE, _vec_sql, feat, parted
 from churnspark.plans.registry import query, rounded
 from churnspark.session import checkpoint_dir, cut_lineage
 from churnspark.sources import io
@@ -59,7 +59,7 @@ def v4_oof_rates(spark, d):
 def v4_oof_logistic(spark, d):
     """V4 with the preprocessor and a logistic fit inside every fold of V3."""
     from churnspark.operators.evaluate import roc_auc
-    f = cut_lineage(V.stratified_folds(feat(spark, d), LABEL, "customerid", 5, 42))
+    f = parted(spark, d, lambda f: V.stratified_folds(f, LABEL, "customerid", 5, 42))
 
     def fit(train):
         pm = E.build_preprocessor().fit(train)

@@ -146,3 +146,23 @@ def test_queries_do_the_whole_fit(spark, monkeypatch):
     q_ml.m11_importances(spark, SF001)
     assert trees == [200]
     assert q_ml.i3_mlp_forward(spark, SF001).count() == q_ml.feat(spark, SF001).count() and hidden == [(128, 64)]
+
+
+def test_tables_that_fits_read_use_all_cores(spark, monkeypatch):
+    """A table of many rows lies in a part for each core, with all its rows; the split is not computed in a later pass."""
+    from conftest import SF001
+
+    from churnspark import session
+    from churnspark.plans import q_ml
+    cores, n = spark.sparkContext.defaultParallelism, cleaned_features(spark, SF001).count()
+    monkeypatch.setattr(session, "DEALT_ROWS", n - 1)
+    for part in (lambda f: V.stratified_split(f, q_ml.LABEL, "customerid", 0.2, 42),
+                 lambda f: V.stratified_folds(f, q_ml.LABEL, "customerid", 5, 42)):
+        x = q_ml.parted(spark, SF001, part)
+        sizes = [r["count"] for r in x.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == cores and sum(sizes) == n and max(sizes) < 2 * n / cores
+        assert sorted(map(str, x.collect())) == sorted(map(str, part(q_ml.feat(spark, SF001)).collect()))
+    for x in (q_ml.study_data(spark, SF001), *q_ml._train_test(spark, SF001)[1:]):
+        assert len(x.groupBy(F.spark_partition_id()).count().collect()) == cores
+    monkeypatch.setattr(session, "DEALT_ROWS", n)
+    assert session.dealt(x, n) is x
