@@ -247,3 +247,12 @@ def test_study_goes_on_where_it_stopped(spark, moons, tmp, monkeypatch):
     assert [c.best_so_far for c in H.convergence(t.where("study = 'logistic'")).orderBy("trial").collect()] == [
         max(own[:i + 1]) for i, v in enumerate(own) if v > -1e7]
     assert H.read_trials(spark, f"{tmp}/study-none").count() == 0
+
+
+def test_the_registered_search_is_the_whole_study(spark, monkeypatch):
+    from churnspark.plans import q_ml
+    asked = []
+    monkeypatch.setattr(q_ml, "study_data", lambda spark, d: None)
+    monkeypatch.setattr(H, "run_studies", lambda data, trials, path, **kw: asked.append(dict(trials)))
+    q_ml.m8_search(spark, "nowhere")
+    assert asked == [{f: 50 for f in ("network", "forest", "gbt", "logistic")}] and set(asked[0]) == set(H.SPACES)
