@@ -142,8 +142,9 @@ def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]]
     scale, by Barzilai and Borwein).  Every ``written_every`` rounds the table is
     written.  The descent ends when every domain's share is within ``tolerance``
     of its target (relative).  Where it stands still before, the pull shrinks;
-    with the least pull it ends (targets that no mix can reach), as it does
-    after ``rounds`` rounds.  The rates are then as large as their bound allows.
+    with the least pull each cell's step is then divided by its own curvature, as
+    a rare domain's is far above the others'.  Where that stands still too, it
+    ends (targets that no mix can reach), as it does after ``rounds`` rounds.  The rates are then as large as their bound allows.
 
     A target of 0 is a domain to leave out: cells that most likely are of it get
     rate 0, and the shares are those among the other domains.  Weights must not
@@ -170,7 +171,7 @@ def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]]
 
     def direction(f: list[float], scale: float) -> Column:
         slope = sum((p[i] * x for i, x in zip(use[1:], f[1:])), p[use[0]] * f[0]) + pull * (rate - most)
-        return F.when(F.col("free"), F.least(F.greatest(rate - scale * slope, F.lit(0.0)), full) - rate).otherwise(F.lit(0.0))
+        return F.when(F.col("free"), F.least(F.greatest(rate - scale * (slope / curve if own else slope), F.lit(0.0)), full) - rate).otherwise(F.lit(0.0))
 
     def summed(*terms: Column) -> list[float]:
         return [x or 0.0 for x in state.agg(*[F.sum(t).alias(f"s{i}") for i, t in enumerate(terms)]).first()]
@@ -179,20 +180,23 @@ def fit_mix(cells: DataFrame, labelled: DataFrame, markers: dict[str, list[str]]
     got = summed(*[w * rate * p[i] for i in use], *[w * p[i] * p[i] for i in use])
     sums, bent = got[:k], got[k:]
     scale = 1 / (sum(x / g ** 2 for x, g in zip(bent, goal)) or 1.0)
-    still = 0
+    still, own = 0, False
+    curve = F.greatest(sum((p[i] * p[i] / g ** 2 for i, g in zip(use[1:], goal[1:])), p[use[0]] * p[use[0]] / goal[0] ** 2), F.lit(1e-12))
     for r in range(1, rounds + 1):
         if not any(sums) or max(abs(x / sum(sums) - g) / g for x, g in zip(sums, goal)) <= tolerance:
             break
         if still >= 3:
-            if pull <= least_pull:
+            if pull <= least_pull and own:
                 break
+            if pull <= least_pull:
+                own, scale = True, 1.0
             pull, still = max(pull / 8, least_pull), 0
         f = force(sums)
         d = direction(f, scale)
-        *gain, drag, size = summed(*[w * p[i] * d for i in use], w * (rate - most) * d, w * d * d)
+        *gain, drag, square, size = summed(*[w * p[i] * d for i in use], w * (rate - most) * d, w * d * d, w * d * d * (curve if own else F.lit(1.0)))
         change = [b - a for a, b in zip(f, force([x + y for x, y in zip(sums, gain)]))]
         falls = sum(a * b for a, b in zip(f, gain)) + pull * drag
-        bends = sum(a * b for a, b in zip(change, gain)) + pull * size
+        bends = sum(a * b for a, b in zip(change, gain)) + pull * square
         length = min(max(-falls / bends, 0.0), 1.0) if bends > 0 else 1.0
         state = state.withColumn("rate", rate + length * d)
         if r % written_every == 0:
